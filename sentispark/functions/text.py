@@ -62,21 +62,27 @@ def _codepoint_char(cp: Column) -> Column:
 
 
 def decode_entities(c: ColumnOrName) -> Column:
-    """Decode HTML entities exactly once (``&amp;lt;`` -> ``&lt;``)."""
-    x = F.regexp_replace(_c(c), r"&amp;?", AMP_SENTINEL)
+    """Decode HTML entities exactly once (``&amp;lt;`` -> ``&lt;``).
+    Texts without ``&`` skip the whole chain."""
+    src = _c(c)
+    return F.when(src.contains("&"), _decode_entities(src)).otherwise(src)
+
+
+def _decode_entities(src: Column) -> Column:
+    x = F.regexp_replace(src, r"&amp;?", AMP_SENTINEL)
     for name, ch in HTML_ENTITIES_LEGACY:
         x = F.regexp_replace(x, f"&{name};?", ch)
     for name, ch in HTML_ENTITIES:
         x = F.replace(x, F.lit(f"&{name};"), F.lit(ch))
     # numeric references are folded by a higher-order aggregate
-    x = F.aggregate(
+    x = F.when(~x.contains("&#"), x).otherwise(F.aggregate(
         F.regexp_extract_all(x, F.lit(r"&#([0-9]{1,7});"), 1), x,
         lambda acc, n: F.replace(acc, F.concat(F.lit("&#"), n, F.lit(";")),
-                                 _codepoint_char(n.cast("int"))))
-    x = F.aggregate(
+                                 _codepoint_char(n.cast("int")))))
+    x = F.when(~x.contains("&#"), x).otherwise(F.aggregate(
         F.regexp_extract_all(x, F.lit(r"&#[xX]([0-9a-fA-F]{1,6});"), 1), x,
         lambda acc, h: F.replace(acc, F.concat(F.lit("&#x"), h, F.lit(";")),
-                                 _codepoint_char(F.conv(h, 16, 10).cast("int"))))
+                                 _codepoint_char(F.conv(h, 16, 10).cast("int")))))
     x = F.regexp_replace(x, r"&#[xX][0-9a-fA-F]{1,6};", " ")
     x = F.regexp_replace(x, r"&[A-Za-z][A-Za-z0-9]*;", " ")
     return F.replace(x, F.lit(AMP_SENTINEL), F.lit("&"))
@@ -85,10 +91,12 @@ def decode_entities(c: ColumnOrName) -> Column:
 def strip_html(c: ColumnOrName, decode: bool = True) -> Column:
     """Markup to text.  Tags go with no separator (``a<br>b`` -> ``ab``);
     comments and script/style bodies go whole; entities decoded once."""
-    x = F.regexp_replace(_c(c), COMMENT_RE, "")
+    src = _c(c)
+    x = F.regexp_replace(src, COMMENT_RE, "")
     x = F.regexp_replace(x, SCRIPT_STYLE_RE, "")
     x = F.regexp_replace(x, DECL_RE, "")
     x = F.regexp_replace(x, TAG_RE, "")
+    x = F.when(src.contains("<"), x).otherwise(src)  # no '<': no markup to strip
     return decode_entities(x) if decode else x
 
 
@@ -184,14 +192,28 @@ def vectorizer_tokens(c: ColumnOrName) -> Column:
 
 
 def ngrams(tokens: ColumnOrName, n_max: int = 1, n_min: int = 1) -> Column:
-    """All n-grams for n in [n_min, n_max], grouped by n, in text order."""
+    """All n-grams for n in [n_min, n_max], grouped by n, in text order.
+
+    Built from shifted slices joined pairwise by ``zip_with`` -- each array
+    argument is evaluated once per row, so the cost is linear in the text
+    length (a ``slice`` inside a ``transform`` lambda would re-evaluate the
+    token expression per element).
+    """
     t = _c(tokens)
+    empty = F.array().cast("array<string>")
+
+    def first(arr: Column, k: Column) -> Column:
+        return F.when(k > 0, F.slice(arr, 1, k)).otherwise(empty)
+
     parts = []
-    for n in range(n_min, n_max + 1):
-        grams = F.transform(F.sequence(F.lit(1), F.size(t) - n + 1),
-                            lambda i, n=n: F.array_join(F.slice(t, i, n), " "))
-        parts.append(F.when(F.size(t) >= n, grams)
-                     .otherwise(F.array().cast("array<string>")))
+    g = t  # n-grams of the current order, aligned at their first word
+    for n in range(1, n_max + 1):
+        if n > 1:
+            k = F.size(t) - n + 1
+            shifted = F.when(k > 0, F.slice(t, n, k)).otherwise(empty)
+            g = F.zip_with(first(g, k), shifted, lambda a, b: F.concat(a, F.lit(" "), b))
+        if n >= n_min:
+            parts.append(g)
     return parts[0] if len(parts) == 1 else F.concat(*parts)
 
 

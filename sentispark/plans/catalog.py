@@ -33,7 +33,7 @@ def register(name: str, sql: str | None = None, ops: tuple[str, ...] = ()):
     return deco
 
 
-PLAN_MODULES = ("q_text", "q_terms")
+PLAN_MODULES = ("q_text", "q_terms", "q_features")
 
 
 def load_all() -> dict[str, QuerySpec]:
