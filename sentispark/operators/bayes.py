@@ -30,13 +30,13 @@ def multinomial_nb_fit(counts: DataFrame, labels: DataFrame, vocab: DataFrame, a
            .groupBy("term").agg(F.sum(F.when(F.col(label) == 0, F.col("tf")).otherwise(0)).alias("c0"),
                                 F.sum(F.when(F.col(label) == 1, F.col("tf")).otherwise(0)).alias("c1")))
     per = v.join(per, "term", "left").na.fill(0, ["c0", "c1"])
-    tot = per.agg(F.sum("c0").alias("N0"), F.sum("c1").alias("N1")).crossJoin(n_v)
+    tot = per.agg(F.sum("c0").alias("tok0"), F.sum("c1").alias("tok1")).crossJoin(n_v)
     pri = _priors(labels, label)
     bias = tot.crossJoin(pri).select(
-        (F.log(F.col("n1") / F.col("n0"))).alias("bias"), "N0", "N1", "V")
+        (F.log(F.col("n1") / F.col("n0"))).alias("bias"), "tok0", "tok1", "V")
     w = (per.crossJoin(F.broadcast(bias))
-         .select("term", (F.log((F.col("c1") + alpha) / (F.col("N1") + alpha * F.col("V")))
-                          - F.log((F.col("c0") + alpha) / (F.col("N0") + alpha * F.col("V")))).alias("w")))
+         .select("term", (F.log((F.col("c1") + alpha) / (F.col("tok1") + alpha * F.col("V")))
+                          - F.log((F.col("c0") + alpha) / (F.col("tok0") + alpha * F.col("V")))).alias("w")))
     return w, bias.select("bias")
 
 
