@@ -49,7 +49,11 @@ def null_row_count(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 def drop_empty(df: DataFrame, text_col: str = "text", na_literals: bool = True) -> DataFrame:
     """Drop rows with a null anywhere, and texts that are blank or a
     missing-value literal (the CSV round trip of the study dropped those)."""
-    return df.na.drop().where(~T.is_empty_text(text_col, na_literals))
+    from sentispark.operators.corpus import keep_where
+    others = [c for c in df.columns if c != text_col]
+    kept = keep_where(F.col(text_col), lambda t: ~T.is_empty_text(t, na_literals))
+    return (df.na.drop(subset=others) if others else df).select(
+        *[kept.alias(c) if c == text_col else F.col(c) for c in df.columns])
 
 
 def rename_columns(df: DataFrame, mapping: dict[str, str]) -> DataFrame:

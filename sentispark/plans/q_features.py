@@ -17,7 +17,7 @@ from sentispark.operators.split import split_sql, train_val_test_split
 from sentispark.plans import sqltext as S
 from sentispark.plans.catalog import register
 from sentispark.session import cut_lineage
-from sentispark.sources.tables import raw_corpus, table
+from sentispark.sources.tables import raw_corpus, table, text_table
 
 SEED = 2000
 
@@ -268,9 +268,9 @@ SELECT c.conv_id, c.turn, c.role, c.text FROM conversations c
 WHERE EXISTS (SELECT 1 FROM cc WHERE cc.conv_id = c.conv_id AND cc.turn = c.turn AND NOT """ + S.not_empty("cc.t") + ")",
           ops=("J2",))
 def q_originals_of_nulls(spark, sf):
-    conv = table(spark, sf, "conversations")
-    empty = (conv.select("conv_id", "turn", T.clean_text("text").alias("t"))
-             .where(T.is_empty_text("t")))
+    conv = text_table(spark, sf, "conversations")
+    empty = conv.select("conv_id", "turn",
+                        C.keep_where(T.clean_text("text"), lambda t: T.is_empty_text(t)).alias("t"))
     return conv.join(empty, ["conv_id", "turn"], "left_semi").select("conv_id", "turn", "role", "text")
 
 

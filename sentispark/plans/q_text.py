@@ -10,7 +10,7 @@ from sentispark.operators import corpus as C
 from sentispark.operators import filters as P
 from sentispark.plans import sqltext as S
 from sentispark.plans.catalog import register
-from sentispark.sources.tables import raw_corpus, table
+from sentispark.sources.tables import raw_corpus, table, text_table
 
 
 def clean_nn(spark, sf):
@@ -37,7 +37,7 @@ _PAGES_HTML = S.with_(*S.staged("ph", "pages", "page_id", "html", S.strip_html_s
 
 @register("strip_html", _PAGES_HTML + "SELECT page_id, t AS text FROM ph", ops=("T1",))
 def q_strip_html(spark, sf):
-    return table(spark, sf, "pages").select("page_id", T.strip_html("html").alias("text"))
+    return text_table(spark, sf, "pages").select("page_id", T.strip_html("html").alias("text"))
 
 
 _PAGES_CLEAN = S.with_(*S.staged("pc", "pages", "page_id", "html", S.clean_steps()))
@@ -45,7 +45,7 @@ _PAGES_CLEAN = S.with_(*S.staged("pc", "pages", "page_id", "html", S.clean_steps
 
 @register("clean_pages", _PAGES_CLEAN + "SELECT page_id, t AS text FROM pc", ops=("T1", "T9"))
 def q_clean_pages(spark, sf):
-    return table(spark, sf, "pages").select("page_id", T.clean_text("html").alias("text"))
+    return text_table(spark, sf, "pages").select("page_id", T.clean_text("html").alias("text"))
 
 
 # ---- T2..T8 individually ----------------------------------------------------
@@ -59,14 +59,14 @@ _CONV_T3 = ("SELECT conv_id, turn, " + S.strip_mentions_urls("text") + " AS text
 
 @register("strip_mentions_urls", _CONV_T3, ops=("T3",))
 def q_strip_mentions_urls(spark, sf):
-    return (table(spark, sf, "conversations")
+    return (text_table(spark, sf, "conversations")
             .select("conv_id", "turn", T.strip_mentions_urls("text").alias("text")))
 
 
 @register("strip_www", "SELECT page_id, " + S.strip_www("url") + " AS url_rest FROM pages",
           ops=("T4",))
 def q_strip_www(spark, sf):
-    return table(spark, sf, "pages").select("page_id", T.strip_www("url").alias("url_rest"))
+    return text_table(spark, sf, "pages").select("page_id", T.strip_www("url").alias("url_rest"))
 
 
 @register("lowercase", _corpus_text_sql("lower({t})"), ops=("T5",))
@@ -194,10 +194,10 @@ _CONV_CLEAN = S.staged("cc", "conversations", "conv_id, turn, role", "text", S.c
           S.with_(*_CONV_CLEAN) + "SELECT conv_id, turn, role FROM cc WHERE NOT " + S.not_empty("t"),
           ops=("P5",))
 def q_null_rows(spark, sf):
-    conv = table(spark, sf, "conversations")
-    cleaned = conv.select("conv_id", "turn", "role", T.clean_text("text").alias("text"))
-    return (cleaned.withColumn("text", F.when(T.is_empty_text("text"), None).otherwise(F.col("text")))
-            .transform(lambda d: P.null_rows(d, ["text"])).select("conv_id", "turn", "role"))
+    conv = text_table(spark, sf, "conversations")
+    # rows whose cleaned text is missing (the CSV round trip turned those into nulls)
+    empty = C.keep_where(T.clean_text("text"), lambda t: T.is_empty_text(t))
+    return conv.select("conv_id", "turn", "role", empty.alias("text")).select("conv_id", "turn", "role")
 
 
 @register("null_row_count",
@@ -205,7 +205,7 @@ def q_null_rows(spark, sf):
           + ") AS BIGINT) AS null_rows FROM cc",
           ops=("P6",))
 def q_null_row_count(spark, sf):
-    conv = table(spark, sf, "conversations")
+    conv = text_table(spark, sf, "conversations")
     cleaned = conv.select(T.clean_text("text").alias("text"))
     cleaned = cleaned.withColumn("text", F.when(T.is_empty_text("text"), None).otherwise(F.col("text")))
     return P.null_row_count(cleaned, ["text"])
