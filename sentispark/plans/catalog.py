@@ -33,7 +33,7 @@ def register(name: str, sql: str | None = None, ops: tuple[str, ...] = ()):
     return deco
 
 
-PLAN_MODULES = ("q_text", "q_terms", "q_features", "q_evaluate", "q_phrases")
+PLAN_MODULES = ("q_text", "q_terms", "q_features", "q_evaluate", "q_phrases", "q_models", "q_sources")
 
 
 def load_all() -> dict[str, QuerySpec]:
