@@ -54,13 +54,6 @@ def normcdf_expr(x: str, mean: str, std: str) -> str:
     return normcdf_sql(z)
 
 
-def normcdf(x: Column | str, mean: Column | str, std: Column | str) -> Column:
-    """Column of Phi((x - mean) / std) given column names (or Columns with names)."""
-    def name(c):
-        return c if isinstance(c, str) else c._jc.toString()
-    return F.expr(normcdf_expr(f"`{name(x)}`", f"`{name(mean)}`", f"`{name(std)}`"))
-
-
 def hmean2_sql(a: str, b: str) -> str:
     """Harmonic mean of two numbers, 0 unless both are positive."""
     return f"(CASE WHEN {a} > 0 AND {b} > 0 THEN 2 * {a} * {b} / ({a} + {b}) ELSE {_d('0')} END)"

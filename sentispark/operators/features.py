@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sentispark.functions import text as T
-from sentispark.functions.stopwords import ENGLISH_STOP_WORDS
 from sentispark.operators.terms import remove_stop_words
 
 BROADCAST_VOCAB_LIMIT = 2_000_000  # terms; ~100 bytes each -> ~200 MB worst case
@@ -123,12 +122,3 @@ def mutual_info_scores(presence: DataFrame, labels: DataFrame, key: str = "row_i
         return F.when(nij > 0, nij / F.col("n") * F.log(F.col("n") * nij / (ni * nj))).otherwise(F.lit(0.0))
     return t.select("term", (cell(n11, nt, c1) + cell(n10, nt, c0) + cell(n01, nf, c1)
                              + cell(n00, nf, c0)).alias("mi"))
-
-
-def to_sparse_vectors(tokens_df: DataFrame, vocab_terms: list[str], tokens_col: str,
-                      out_col: str = "features", binary: bool = False):
-    """ML edge: token arrays -> SparseVector counts over a fixed vocabulary."""
-    from pyspark.ml.feature import CountVectorizerModel
-    cv = CountVectorizerModel.from_vocabulary(vocab_terms, inputCol=tokens_col, outputCol=out_col)
-    cv.setBinary(binary)
-    return cv.transform(tokens_df)

@@ -121,11 +121,16 @@ def minibatch_assign(df: DataFrame, batch_size: int, order_col: str = "row_id")
             .drop("__rn"))
 
 
-def block_label(line_no: Column, split_block: int = 25000, label_block: int = 12500) -> tuple[Column, Column]:
-    """Split and sentiment from a line number by position blocks."""
-    b = F.floor(line_no / split_block)
-    split = (F.when(b == 0, "train").when(b == 1, "test").when(b.isin(2, 3), "extra"))
-    lb = F.floor(line_no / label_block)
+def block_label(line_no: Column, split_block, label_block=None) -> tuple[Column, Column]:
+    """Split and sentiment from a line number by position blocks
+    (train, test, extra, extra; each half positive then half negative).
+    Block sizes are ints or Columns; ``label_block`` defaults to half."""
+    sb = split_block if isinstance(split_block, Column) else F.lit(split_block)
+    lbk = (sb / 2) if label_block is None else (
+        label_block if isinstance(label_block, Column) else F.lit(label_block))
+    b = F.floor(line_no / sb)
+    split = F.when(b == 0, "train").when(b == 1, "test").when(b.isin(2, 3), "extra")
+    lb = F.floor(line_no / lbk)
     sent = (F.when(lb.isin(0, 2), F.lit(1.0)).when(lb.isin(1, 3), F.lit(0.0))
             .otherwise(F.lit(None).cast("double")))
     return split, sent

@@ -10,7 +10,7 @@ is that bound).  TF-IDF follows the study's formula
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline
 from pyspark.ml.classification import (DecisionTreeClassifier, LinearSVC, LogisticRegression,
                                        MultilayerPerceptronClassifier)
 from pyspark.ml.feature import (IDF, CountVectorizerModel, ElementwiseProduct, Normalizer, PCA,
@@ -155,15 +155,8 @@ def pca_project(df: DataFrame, k: int = 10, input_col: str = "features") -> Data
     return PCA(k=k, inputCol=input_col, outputCol="pca").fit(df).transform(df)
 
 
-def fit_predict(estimator, train: DataFrame, data: DataFrame) -> DataFrame:
-    model = estimator.fit(train) if hasattr(estimator, "fit") else estimator
-    return model.transform(data)
-
-
 def pipeline(terms: list[str], classifier, tokens_col: str = "grams") -> Pipeline:
     """M6: vectorizer -> classifier as one Pipeline."""
     cv = CountVectorizerModel.from_vocabulary(terms, inputCol=tokens_col, outputCol="features")
     return Pipeline(stages=[cv, classifier])
 
-
-__all__ = ["PipelineModel"]

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sentispark.functions.stopwords import ENGLISH_STOP_WORDS
 from sentispark.operators import bayes as B
 from sentispark.operators import corpus as C
 from sentispark.operators import evaluate as E
@@ -17,7 +16,6 @@ from sentispark.operators import features as FE
 from sentispark.operators import filters as P
 from sentispark.operators import terms as TM
 from sentispark.plans import q_terms as QT
-from sentispark.plans import sqltext as S
 from sentispark.plans.catalog import register
 from sentispark.plans.q_features import WITH_SPLIT, split_corpus
 

@@ -30,7 +30,7 @@ def split_corpus(spark, sf, seed: int = SEED):
     return cut_lineage(train_val_test_split(cut_lineage(d), "row_id", seed, 0.02))
 
 
-SPLIT_CTE = ("sp AS (" + split_sql(f"(SELECT row_id, text, target, {S.label01()} AS label FROM clean_nn)",
+SPLIT_CTE = ("sp AS MATERIALIZED (" + split_sql(f"(SELECT row_id, text, target, {S.label01()} AS label FROM clean_nn)",
                                    "row_id", SEED, 0.02) + ")")
 WITH_SPLIT = S.BASE.rstrip("\n") + ",\n" + SPLIT_CTE + "\n"
 
@@ -38,7 +38,7 @@ WITH_SPLIT = S.BASE.rstrip("\n") + ",\n" + SPLIT_CTE + "\n"
 def grams_sql(src: str, nmax: int, cols: str = "row_id, split") -> str:
     return (f"g0 AS (SELECT {cols}, string_split(text, ' ') AS t FROM {src}), "
             f"g1 AS (SELECT {cols}, n, t, unnest(range(1, len(t) - n + 2)) AS i FROM g0, range(1, {nmax + 1}) r(n)), "
-            f"grams AS (SELECT {cols}, CAST(n AS INTEGER) AS n, array_to_string(t[i:i+n-1], ' ') AS term FROM g1)")
+            f"grams AS MATERIALIZED (SELECT {cols}, CAST(n AS INTEGER) AS n, array_to_string(t[i:i+n-1], ' ') AS term FROM g1)")
 
 
 # ---- M1, A7, A16 -------------------------------------------------------------------

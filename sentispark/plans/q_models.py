@@ -7,7 +7,6 @@ check scale; the operator defaults are the study's parameters.
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -316,5 +315,3 @@ def q_similarity_table(spark, sf):
                                 F.col("term").alias("similar"), "similarity"))
     return parts[0].unionByName(parts[1])
 
-
-__all__ = ["np"]

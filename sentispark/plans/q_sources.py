@@ -7,11 +7,12 @@ import uuid
 from pyspark.sql import functions as F
 
 from sentispark.functions import text as T
+from sentispark.operators.filters import block_label
 from sentispark.operators.ranking import global_row_number
 from sentispark.plans import sqltext as S
 from sentispark.plans.catalog import register
 from sentispark.session import ensure_checkpoint_dir
-from sentispark.sources.tables import table, text_table
+from sentispark.sources.tables import text_table
 from sentispark.streaming.clean_stream import stream_clean_documents
 
 
@@ -49,12 +50,8 @@ def q_read_numbered_lines(spark, sf):
                           (F.size(toks) - 1).alias("n_words"))
     n = parsed.agg(F.ceil(F.count(F.lit(1)) / 4).cast("bigint").alias("blk"))
     p = parsed.crossJoin(F.broadcast(n))
-    b = F.floor(F.col("line_no") / F.col("blk"))
-    lb = F.floor(F.col("line_no") / (F.col("blk") / 2))
-    return p.select("line_no", "n_words",
-                    F.when(b == 0, "train").when(b == 1, "test").when(b.isin(2, 3), "extra").alias("split"),
-                    F.when(lb.isin(0, 2), F.lit(1.0)).when(lb.isin(1, 3), F.lit(0.0))
-                    .otherwise(F.lit(None).cast("double")).alias("sentiment"))
+    split, sentiment = block_label(F.col("line_no"), F.col("blk"))
+    return p.select("line_no", "n_words", split.alias("split"), sentiment.alias("sentiment"))
 
 
 _DOC_CLEAN = S.staged("dc", "documents", "doc_id", "text", S.clean_steps())
@@ -67,4 +64,28 @@ def q_stream_clean_text(spark, sf):
     return stream_clean_documents(spark, sf, work)
 
 
-__all__ = ["table"]
+@register("csv_roundtrip", S.with_(S.CORPUS) + "SELECT row_id, text, target FROM corpus", ops=("S2", "S3"))
+def q_csv_roundtrip(spark, sf):
+    """The corpus written as a CSV table (header, UTF-8) into the shared
+    folder and read back with the explicit-schema reader."""
+    from sentispark.sources.files import read_indexed_csv, write_table
+    from sentispark.sources.tables import raw_corpus
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/csv-{uuid.uuid4().hex}"
+    write_table(raw_corpus(spark, sf), path, fmt="csv")
+    return read_indexed_csv(spark, path, multi_line=True)
+
+
+@register("raw_csv_roundtrip", S.with_(S.CORPUS) + """
+SELECT target AS sentiment, row_id AS id, text FROM corpus""", ops=("S1", "P1"))
+def q_raw_csv_roundtrip(spark, sf):
+    """The corpus in the raw six-column layout, written as headerless Latin-1
+    CSV into the shared folder and read back with the S1 reader; the unused
+    columns are dropped as the study does (P1)."""
+    from sentispark.sources.files import read_raw_csv, write_raw_csv
+    from sentispark.sources.tables import raw_corpus
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/raw-{uuid.uuid4().hex}"
+    raw = raw_corpus(spark, sf).select(F.col("target").alias("sentiment"), F.col("row_id").alias("id"),
+                                       *[F.lit(None).cast("string").alias(c) for c in ("date", "query_string", "user")],
+                                       "text")
+    write_raw_csv(raw, path)
+    return read_raw_csv(spark, path, multi_line=True).select("sentiment", "id", "text")

@@ -288,14 +288,8 @@ def q_block_label(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id")
     n = docs.agg(F.ceil(F.count(F.lit(1)) / 4).cast("bigint").alias("blk"))
     ranked = global_row_number(docs, [F.col("doc_id")], "rn").crossJoin(F.broadcast(n))
-    line_no = F.col("rn") - 1
-    b = F.floor(line_no / F.col("blk"))
-    lb = F.floor(line_no / (F.col("blk") / 2))
-    return ranked.select(
-        "doc_id",
-        F.when(b == 0, "train").when(b == 1, "test").when(b.isin(2, 3), "extra").alias("split"),
-        F.when(lb.isin(0, 2), F.lit(1.0)).when(lb.isin(1, 3), F.lit(0.0))
-        .otherwise(F.lit(None).cast("double")).alias("sentiment"))
+    split, sentiment = P.block_label(F.col("rn") - 1, F.col("blk"))
+    return ranked.select("doc_id", split.alias("split"), sentiment.alias("sentiment"))
 
 
 @register("preview", S.BASE + "SELECT row_id, text, target FROM clean_nn ORDER BY row_id LIMIT 5",

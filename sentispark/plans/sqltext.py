@@ -132,7 +132,7 @@ def label01(x: str = "target") -> str:
 # Shared CTEs ---------------------------------------------------------------
 CORPUS = f"corpus AS ({RAW_CORPUS_SQL})"
 CLEAN = ",\n".join(staged("clean", "corpus", "row_id, target", "text", clean_steps()))
-CLEAN_NN = (f"clean_nn AS (SELECT row_id, t AS text, target FROM clean "
+CLEAN_NN = (f"clean_nn AS MATERIALIZED (SELECT row_id, t AS text, target FROM clean "
             f"WHERE {not_empty('t')})")
 TOKENS = ("tokens AS (SELECT row_id, target, unnest(string_split(text, ' ')) AS term "
           "FROM clean_nn)")

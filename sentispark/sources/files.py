@@ -16,23 +16,34 @@ CLEAN_SCHEMA = "row_id BIGINT, text STRING, target INT"
 FOLDERS = ("train/pos", "train/neg", "test/pos", "test/neg", "train/unsup")
 
 
-def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Headerless Latin-1 CSV, doubled quotes inside quoted fields."""
     return (spark.read.schema(RAW_SCHEMA)
             .option("header", "false").option("encoding", "ISO-8859-1")
-            .option("quote", '"').option("escape", '"').csv(path))
+            .option("quote", '"').option("escape", '"')
+            .option("multiLine", str(multi_line).lower()).csv(path))
 
 
-def read_indexed_csv(spark: SparkSession, path: str, schema: str = CLEAN_SCHEMA) -> DataFrame:
-    """CSV with a header whose first column is the saved row index."""
-    return spark.read.schema(schema).option("header", "true").option("encoding", "UTF-8").csv(path)
+def write_raw_csv(df: DataFrame, path: str) -> None:
+    """The raw layout (six columns, no header, Latin-1, quotes doubled)."""
+    (df.select(*[c.split()[0] for c in RAW_SCHEMA.split(", ")]).write.mode("overwrite")
+     .option("header", "false").option("encoding", "ISO-8859-1").option("quote", '"')
+     .option("escape", '"').csv(path))
+
+
+def read_indexed_csv(spark: SparkSession, path: str, schema: str = CLEAN_SCHEMA,
+                     multi_line: bool = False) -> DataFrame:
+    """CSV with a header whose first column is the saved row index.
+    ``multi_line`` reads quoted fields that contain line breaks."""
+    return (spark.read.schema(schema).option("header", "true").option("encoding", "UTF-8")
+            .option("multiLine", str(multi_line).lower()).option("escape", '"').csv(path))
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
     """S3: write a table (parquet by default; ``fmt='csv'`` writes a header)."""
     w = df.write.mode(mode)
     if fmt == "csv":
-        w = w.option("header", "true").option("encoding", "UTF-8")
+        w = w.option("header", "true").option("encoding", "UTF-8").option("escape", '"')
     w.format(fmt).save(path)
 
 
