@@ -54,6 +54,15 @@ DECL_RE = r"<[!?][^>]*>"
 TAG_RE = r"</?[A-Za-z][^>]*>"
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` as a lambda variable.
+
+    A guard such as ``CASE WHEN contains(x, '&') THEN f(x) ELSE x`` repeats
+    the subtree ``x``; nested guards would repeat it multiplicatively.  Binding
+    ``x`` through a one-element ``transform`` keeps one copy."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _codepoint_char(cp: Column) -> Column:
     """Unicode character for an integer code point; invalid points -> U+FFFD."""
     ok = (cp >= 1) & (cp <= 0x10FFFF) & ~cp.between(0xD800, 0xDFFF)
@@ -64,8 +73,7 @@ def _codepoint_char(cp: Column) -> Column:
 def decode_entities(c: ColumnOrName) -> Column:
     """Decode HTML entities exactly once (``&amp;lt;`` -> ``&lt;``).
     Texts without ``&`` skip the whole chain."""
-    src = _c(c)
-    return F.when(src.contains("&"), _decode_entities(src)).otherwise(src)
+    return let(_c(c), lambda v: F.when(v.contains("&"), _decode_entities(v)).otherwise(v))
 
 
 def _decode_entities(src: Column) -> Column:
@@ -75,14 +83,14 @@ def _decode_entities(src: Column) -> Column:
     for name, ch in HTML_ENTITIES:
         x = F.replace(x, F.lit(f"&{name};"), F.lit(ch))
     # numeric references are folded by a higher-order aggregate
-    x = F.when(~x.contains("&#"), x).otherwise(F.aggregate(
-        F.regexp_extract_all(x, F.lit(r"&#([0-9]{1,7});"), 1), x,
+    x = let(x, lambda v: F.when(~v.contains("&#"), v).otherwise(F.aggregate(
+        F.regexp_extract_all(v, F.lit(r"&#([0-9]{1,7});"), 1), v,
         lambda acc, n: F.replace(acc, F.concat(F.lit("&#"), n, F.lit(";")),
-                                 _codepoint_char(n.cast("int")))))
-    x = F.when(~x.contains("&#"), x).otherwise(F.aggregate(
-        F.regexp_extract_all(x, F.lit(r"&#[xX]([0-9a-fA-F]{1,6});"), 1), x,
+                                 _codepoint_char(n.cast("int"))))))
+    x = let(x, lambda v: F.when(~v.contains("&#"), v).otherwise(F.aggregate(
+        F.regexp_extract_all(v, F.lit(r"&#[xX]([0-9a-fA-F]{1,6});"), 1), v,
         lambda acc, h: F.replace(acc, F.concat(F.lit("&#x"), h, F.lit(";")),
-                                 _codepoint_char(F.conv(h, 16, 10).cast("int")))))
+                                 _codepoint_char(F.conv(h, 16, 10).cast("int"))))))
     x = F.regexp_replace(x, r"&#[xX][0-9a-fA-F]{1,6};", " ")
     x = F.regexp_replace(x, r"&[A-Za-z][A-Za-z0-9]*;", " ")
     return F.replace(x, F.lit(AMP_SENTINEL), F.lit("&"))
@@ -91,12 +99,13 @@ def _decode_entities(src: Column) -> Column:
 def strip_html(c: ColumnOrName, decode: bool = True) -> Column:
     """Markup to text.  Tags go with no separator (``a<br>b`` -> ``ab``);
     comments and script/style bodies go whole; entities decoded once."""
-    src = _c(c)
-    x = F.regexp_replace(src, COMMENT_RE, "")
-    x = F.regexp_replace(x, SCRIPT_STYLE_RE, "")
-    x = F.regexp_replace(x, DECL_RE, "")
-    x = F.regexp_replace(x, TAG_RE, "")
-    x = F.when(src.contains("<"), x).otherwise(src)  # no '<': no markup to strip
+    def tags(v: Column) -> Column:
+        x = F.regexp_replace(v, COMMENT_RE, "")
+        x = F.regexp_replace(x, SCRIPT_STYLE_RE, "")
+        x = F.regexp_replace(x, DECL_RE, "")
+        return F.regexp_replace(x, TAG_RE, "")
+    # no '<': no markup to strip
+    x = let(_c(c), lambda v: F.when(v.contains("<"), tags(v)).otherwise(v))
     return decode_entities(x) if decode else x
 
 
@@ -123,11 +132,11 @@ def lowercase(c: ColumnOrName) -> Column:
 def expand_negations(c: ColumnOrName) -> Column:
     """The 17 contractions, word bounded.  Texts without ``n't`` skip the
     chain, so the common case costs one ``contains``."""
-    x = _c(c)
-    chain = x
-    for key, rep in NEGATIONS:
-        chain = F.regexp_replace(chain, r"\b" + key + r"\b", rep)
-    return F.when(x.contains("n't"), chain).otherwise(x)
+    def chain(v: Column) -> Column:
+        for key, rep in NEGATIONS:
+            v = F.regexp_replace(v, r"\b" + key + r"\b", rep)
+        return v
+    return let(_c(c), lambda v: F.when(v.contains("n't"), chain(v)).otherwise(v))
 
 
 def letters_only(c: ColumnOrName) -> Column:

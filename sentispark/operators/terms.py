@@ -64,24 +64,37 @@ def class_totals(tf: DataFrame) -> DataFrame:
     return tf.agg(F.sum("negative").alias("neg_sum"), F.sum("positive").alias("pos_sum"))
 
 
-def term_scores(tf: DataFrame) -> DataFrame:
+def term_scores(tf: DataFrame, bound: int | None = None) -> DataFrame:
     """F1-F6 on a term-frequency table.
 
-    Two passes: (1) class totals; (2) rates and shares, then their mean and
-    sample deviation (one-row aggregate), then normal CDFs and harmonic means.
-    Both one-row tables are joined by broadcast, never by a global window.
+    Needs two whole-table statistics: class totals, then the mean and sample
+    deviation of the rates and shares.  When the table is a top-k of at most
+    ``bound`` rows (the usual ``max_features`` cut) they are windows over
+    those k rows, so the corpus aggregation behind the top-k runs once.
+    Without a bound they are one-row aggregates joined back by broadcast
+    (never a window over an unbounded table).
     """
-    sums = class_totals(tf)
-    base = (tf.crossJoin(F.broadcast(sums))
-            .withColumn("pos_rate", F.col("positive") / F.col("total"))
-            .withColumn("pos_freq_pct", F.col("positive") / F.col("pos_sum"))
-            .withColumn("neg_rate", F.col("negative") / F.col("total"))
-            .withColumn("neg_freq_pct", F.col("negative") / F.col("neg_sum"))
-            .drop("pos_sum", "neg_sum"))
+    from pyspark.sql import Window
     cols = ["pos_rate", "pos_freq_pct", "neg_rate", "neg_freq_pct"]
-    stats = base.agg(*[F.avg(c).alias(f"{c}__mean") for c in cols],
-                     *[F.stddev_samp(c).alias(f"{c}__std") for c in cols])
-    out = base.crossJoin(F.broadcast(stats))
+    if bound is not None:
+        whole = Window.partitionBy()  # the k rows of a bounded top-k
+        base = (tf.withColumn("pos_rate", F.col("positive") / F.col("total"))
+                .withColumn("pos_freq_pct", F.col("positive") / F.sum("positive").over(whole))
+                .withColumn("neg_rate", F.col("negative") / F.col("total"))
+                .withColumn("neg_freq_pct", F.col("negative") / F.sum("negative").over(whole)))
+        out = base.select("*", *[F.avg(c).over(whole).alias(f"{c}__mean") for c in cols],
+                          *[F.stddev_samp(c).over(whole).alias(f"{c}__std") for c in cols])
+    else:
+        sums = class_totals(tf)
+        base = (tf.crossJoin(F.broadcast(sums))
+                .withColumn("pos_rate", F.col("positive") / F.col("total"))
+                .withColumn("pos_freq_pct", F.col("positive") / F.col("pos_sum"))
+                .withColumn("neg_rate", F.col("negative") / F.col("total"))
+                .withColumn("neg_freq_pct", F.col("negative") / F.col("neg_sum"))
+                .drop("pos_sum", "neg_sum"))
+        stats = base.agg(*[F.avg(c).alias(f"{c}__mean") for c in cols],
+                         *[F.stddev_samp(c).alias(f"{c}__std") for c in cols])
+        out = base.crossJoin(F.broadcast(stats))
     out = out.withColumn("pos_hmean", hmean2(F.col("pos_rate"), F.col("pos_freq_pct")))
     for c in cols:
         out = out.withColumn(f"{c}_normcdf", F.expr(normcdf_expr(c, f"{c}__mean", f"{c}__std")))

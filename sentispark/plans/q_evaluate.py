@@ -60,7 +60,7 @@ def centroid_pred(spark, sf):
 def lexicon_pred(spark, sf):
     sp = split_corpus(spark, sf)
     toks = C.explode_tokens(sp, keep=("row_id", "split", "target"))
-    lex = (TM.term_scores(TM.term_freq_limited(toks.where(F.col("split") == "train"), 10000))
+    lex = (TM.term_scores(TM.term_freq_limited(toks.where(F.col("split") == "train"), 10000), bound=10000)
            .select("term", (F.col("pos_normcdf_hmean") - F.col("neg_normcdf_hmean")).alias("polarity")))
     return B.lexicon_polarity(toks, lex, sp.select("row_id", "label", "split"), lexicon_bound=10000)
 

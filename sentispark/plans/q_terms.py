@@ -195,7 +195,7 @@ _SCORE_COLS = ("term, negative, positive, total, pos_rate, pos_freq_pct, neg_rat
 
 
 def scores(spark, sf):
-    return TM.term_scores(tf_limited(spark, sf))
+    return TM.term_scores(tf_limited(spark, sf), bound=10000)
 
 
 @register("term_scores", WITH_SCORES + f"SELECT {_SCORE_COLS} FROM scores",
