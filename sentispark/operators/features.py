@@ -53,6 +53,34 @@ def fit_vocabulary(occ: DataFrame, max_features: int | None, key: str = "row_id"
         .withColumn("index", (F.col("index") - 1).cast("int"))
 
 
+def doc_term_table(occ: DataFrame, key: str = "row_id", extra: tuple[str, ...] = ()) -> DataFrame:
+    """Per-document term counts ``(key, extra..., term, tf)`` -- the one
+    aggregation both the vocabulary and the vectors are built from."""
+    return occ.groupBy(key, *extra, "term").agg(F.count(F.lit(1)).alias("tf"))
+
+
+def fit_vocabulary_counts(dtc: DataFrame, max_features: int | None) -> DataFrame:
+    """Vocabulary from per-document counts: ``cnt = sum(tf)``, ``df = count``
+    (one row per document and term), top ``max_features`` by cnt then term."""
+    from pyspark.sql import Window
+    counts = dtc.groupBy("term").agg(F.sum("tf").alias("cnt"), F.count(F.lit(1)).alias("df"))
+    if max_features is not None:
+        counts = counts.orderBy(F.col("cnt").desc(), F.col("term")).limit(max_features)
+        w = Window.orderBy(F.col("cnt").desc(), F.col("term"))  # over max_features rows only
+        return counts.withColumn("index", (F.row_number().over(w) - 1).cast("int"))
+    from sentispark.operators.ranking import global_row_number
+    return global_row_number(counts, [F.col("cnt").desc(), F.col("term")], "index") \
+        .withColumn("index", (F.col("index") - 1).cast("int"))
+
+
+def vectorize_counts(dtc: DataFrame, vocab: DataFrame, max_features: int | None,
+                     key: str = "row_id") -> DataFrame:
+    """M2 long form from per-document counts: ``(row_id, term, index, tf)``."""
+    v = vocab.select("term", "index")
+    v = maybe_broadcast(v, max_features) if max_features else v
+    return dtc.join(v, "term").select(key, "term", "index", "tf")
+
+
 def count_vectorize(occ: DataFrame, vocab: DataFrame, max_features: int | None,
                     key: str = "row_id") -> DataFrame:
     """M2 long form: ``(row_id, term, index, tf)`` restricted to the vocabulary."""

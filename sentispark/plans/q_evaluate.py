@@ -25,12 +25,12 @@ VOCAB = 10000
 # ---- shared Spark set-up ---------------------------------------------------------
 def setup(spark, sf):
     sp = split_corpus(spark, sf)
-    occ = FE.doc_grams(sp, 1, None, extra=("split",))
-    vocab = FE.fit_vocabulary(occ.where(F.col("split") == "train"), VOCAB)
-    counts = FE.count_vectorize(occ, vocab, VOCAB)
+    dtc = FE.doc_term_table(FE.doc_grams(sp, 1, None, extra=("split",)), extra=("split",))
+    vocab = FE.fit_vocabulary_counts(dtc.where(F.col("split") == "train"), VOCAB)
+    counts = FE.vectorize_counts(dtc, vocab, VOCAB)
     labels = sp.select("row_id", "label", "split")
     train_ids = labels.where(F.col("split") == "train")
-    return sp, occ, vocab, counts, labels, train_ids
+    return sp, dtc, vocab, counts, labels, train_ids
 
 
 def mnb_scores(spark, sf):

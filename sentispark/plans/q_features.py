@@ -82,10 +82,11 @@ def _vocab_sql(max_features: int, src: str = "occ") -> str:
 
 
 def _fit_features(spark, sf, ngram_max: int, max_features: int, stop_words=None):
+    """(split corpus, per-document term counts, vocabulary fitted on train)."""
     sp = split_corpus(spark, sf)
-    occ = FE.doc_grams(sp, ngram_max, stop_words, extra=("split",))
-    vocab = FE.fit_vocabulary(occ.where(F.col("split") == "train"), max_features)
-    return sp, occ, vocab
+    dtc = FE.doc_term_table(FE.doc_grams(sp, ngram_max, stop_words, extra=("split",)), extra=("split",))
+    vocab = FE.fit_vocabulary_counts(dtc.where(F.col("split") == "train"), max_features)
+    return sp, dtc, vocab
 
 
 @register("count_vectorize", WITH_SPLIT.rstrip("\n") + ",\n"
@@ -94,8 +95,8 @@ def _fit_features(spark, sf, ngram_max: int, max_features: int, stop_words=None)
 SELECT row_id, term, CAST(idx AS INTEGER) AS "index", CAST(count(*) AS BIGINT) AS tf
 FROM occ JOIN voc USING (term) WHERE split <> 'train' GROUP BY row_id, term, idx""", ops=("M2",))
 def q_count_vectorize(spark, sf):
-    sp, occ, vocab = _fit_features(spark, sf, 1, 10000)
-    return FE.count_vectorize(occ.where(F.col("split") != "train"), vocab, 10000)
+    sp, dtc, vocab = _fit_features(spark, sf, 1, 10000)
+    return FE.vectorize_counts(dtc.where(F.col("split") != "train"), vocab, 10000)
 
 
 _STOPS = ", ".join(S.q(w) for w in ENGLISH_STOP_WORDS)
@@ -107,8 +108,8 @@ _STOPS = ", ".join(S.q(w) for w in ENGLISH_STOP_WORDS)
 SELECT row_id, term, CAST(idx AS INTEGER) AS "index", CAST(count(*) AS BIGINT) AS tf
 FROM occ JOIN voc USING (term) WHERE split <> 'train' GROUP BY row_id, term, idx""", ops=("M2", "T16"))
 def q_count_vectorize_stop(spark, sf):
-    sp, occ, vocab = _fit_features(spark, sf, 1, 10000, ENGLISH_STOP_WORDS)
-    return FE.count_vectorize(occ.where(F.col("split") != "train"), vocab, 10000)
+    sp, dtc, vocab = _fit_features(spark, sf, 1, 10000, ENGLISH_STOP_WORDS)
+    return FE.vectorize_counts(dtc.where(F.col("split") != "train"), vocab, 10000)
 
 
 TFIDF_SQL = (WITH_SPLIT.rstrip("\n") + ",\n" + grams_sql("sp", 3) + ",\n"
@@ -120,9 +121,9 @@ TFIDF_SQL = (WITH_SPLIT.rstrip("\n") + ",\n" + grams_sql("sp", 3) + ",\n"
 
 
 def tfidf_heldout(spark, sf, normalize=True):
-    sp, occ, vocab = _fit_features(spark, sf, 3, 100000)
+    sp, dtc, vocab = _fit_features(spark, sf, 3, 100000)
     n_docs = sp.where(F.col("split") == "train").agg(F.count(F.lit(1)).alias("n"))
-    counts = FE.count_vectorize(occ.where(F.col("split") != "train"), vocab, 100000)
+    counts = FE.vectorize_counts(dtc.where(F.col("split") != "train"), vocab, 100000)
     return FE.tfidf(counts, vocab, n_docs, 100000, normalize=normalize)
 
 

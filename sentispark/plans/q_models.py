@@ -142,9 +142,9 @@ def q_pca_project(spark, sf):
 # ---- M15 / M16 (iterative parameter mixing) ------------------------------------------------------------------
 def _online(spark, sf, rule: str):
     sp = split_corpus(spark, sf)
-    occ = FE.doc_grams(sp, 1, None, extra=("split",))
-    vocab = FE.fit_vocabulary(occ.where(F.col("split") == "train"), 10000)
-    counts = FE.count_vectorize(occ, vocab, 10000)
+    dtc = FE.doc_term_table(FE.doc_grams(sp, 1, None, extra=("split",)), extra=("split",))
+    vocab = FE.fit_vocabulary_counts(dtc.where(F.col("split") == "train"), 10000)
+    counts = FE.vectorize_counts(dtc, vocab, 10000)
     n_docs = sp.where(F.col("split") == "train").agg(F.count(F.lit(1)).alias("n"))
     vals = FE.tfidf(counts, vocab, n_docs, 10000).withColumnRenamed("tfidf", "value")
     labels = sp.select("row_id", "label", "split")
