@@ -29,7 +29,7 @@ def vocabulary_terms(vocab: DataFrame, max_features: int) -> list[str]:
     """Vocabulary terms in index order; bounded by ``max_features``."""
     if max_features > MAX_DRIVER_VOCAB:
         raise ValueError("vocabulary too large to hand to a CountVectorizerModel")
-    rows = vocab.orderBy("index").select("term").limit(max_features).collect()
+    rows = vocab.orderBy("index").select("term").collect()  # at most max_features rows
     return [r.term for r in rows]
 
 

@@ -47,6 +47,11 @@ def q_split(spark, sf):
     return split_corpus(spark, sf).select("row_id", "label", "split")
 
 
+@register("split_filter", WITH_SPLIT + "SELECT row_id, text, label FROM sp WHERE split = 'validation'", ops=("P10",))
+def q_split_filter(spark, sf):
+    return split_corpus(spark, sf).where(F.col("split") == "validation").select("row_id", "text", "label")
+
+
 @register("split_counts", WITH_SPLIT + "SELECT split, CAST(count(*) AS BIGINT) AS n_docs FROM sp GROUP BY split",
           ops=("A16", "M1"))
 def q_split_counts(spark, sf):

@@ -71,11 +71,13 @@ def read_text_dir(spark: SparkSession, root: str, folders=FOLDERS) -> DataFrame:
                      F.col("value").alias("text"))
 
 
-def write_folder_text(docs: DataFrame, root: str) -> None:
+def write_folder_text(docs: DataFrame, root: str, one_line: bool = False) -> None:
     """One normalised line per document, one output folder per source
-    folder (``train-pos`` ...), written in parallel by partition."""
+    folder (``train-pos`` ...), written in parallel by partition.
+    ``one_line`` turns line breaks inside a document into spaces."""
+    text = F.translate("text", "\r\n", "  ") if one_line else F.col("text")
     out = docs.select(T.path_to_name("folder").alias("file"),
-                      T.normalize_review(T.replace_control("text")).alias("value"))
+                      T.normalize_review(T.replace_control(text)).alias("value"))
     out.write.mode("overwrite").partitionBy("file").text(root)
 
 
