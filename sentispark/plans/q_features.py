@@ -285,7 +285,7 @@ SELECT target, CAST(count(*) AS BIGINT) AS n_rows FROM (
   SELECT row_id, target FROM (SELECT row_id, target, row_number() OVER (PARTITION BY target ORDER BY row_id) AS rk,
          count(*) OVER () AS n FROM clean_nn) WHERE rk <= floor(n * 0.05)) GROUP BY target""", ops=("J6", "P13"))
 def q_union_splits(spark, sf):
-    d = C.clean_corpus(raw_corpus(spark, sf))
+    d = cut_lineage(C.clean_corpus(raw_corpus(spark, sf)))
     # the study concatenates the first rows of each class; union by name
     head = class_head_sample(d, 0.05)
     neg = head.where(F.col("target") == 0)

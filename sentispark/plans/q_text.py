@@ -10,6 +10,7 @@ from sentispark.operators import corpus as C
 from sentispark.operators import filters as P
 from sentispark.plans import sqltext as S
 from sentispark.plans.catalog import register
+from sentispark.session import cut_lineage
 from sentispark.sources.tables import raw_corpus, table, text_table
 
 
@@ -17,6 +18,13 @@ def clean_nn(spark, sf):
     return C.clean_corpus(raw_corpus(spark, sf))
 
 
+def clean_nn_once(spark, sf):
+    """The cleaned corpus written once to the checkpoint folder, for plans
+    that read it in several branches (ranking samples its input, then
+    shuffles it; class and row counts are further passes)."""
+    return cut_lineage(clean_nn(spark, sf))
+
+
 def _corpus_text_sql(expr: str, alias: str = "text") -> str:
     return S.with_(S.CORPUS) + f"SELECT row_id, {expr.format(t='text')} AS {alias} FROM corpus"
 
@@ -262,7 +270,7 @@ WHERE rk <= floor(n * {frac})"""
 
 @register("class_head_sample", _head_sql(0.1), ops=("P13",))
 def q_class_head_sample(spark, sf):
-    return P.class_head_sample(clean_nn(spark, sf), 0.1).select("row_id", "target")
+    return P.class_head_sample(clean_nn_once(spark, sf), 0.1).select("row_id", "target")
 
 
 @register("minibatch_assign",
@@ -270,7 +278,7 @@ def q_class_head_sample(spark, sf):
           "AS batch_id FROM clean_nn",
           ops=("P14",))
 def q_minibatch_assign(spark, sf):
-    return P.minibatch_assign(clean_nn(spark, sf).select("row_id"), 32)
+    return P.minibatch_assign(clean_nn_once(spark, sf).select("row_id"), 32)
 
 
 @register("block_label", """
