@@ -31,9 +31,9 @@ def ml_frame(spark, sf, ngram: int = 1, max_features: int = 10000, kind: str = "
     docs = sp.select("row_id", "split", F.col("label").cast("double").alias("label"),
                      FE.grams(F.col("text"), ngram).alias("grams"))
     if vocab_terms is None:
-        occ = docs.select("row_id", "split", F.explode("grams").alias("term"))
-        vocab = FE.fit_vocabulary(occ.where(F.col("split") == "train"), max_features)
-        vocab_terms = L.vocabulary_terms(vocab, max_features)
+        dtc = FE.doc_term_table(docs.where(F.col("split") == "train")
+                                .select("row_id", F.explode("grams").alias("term")))
+        vocab_terms = L.vocabulary_terms(FE.fit_vocabulary_counts(dtc, max_features), max_features)
     if kind == "tfidf":
         feats = L.tfidf_vectors(docs, vocab_terms, "grams", F.col("split") == "train")
     else:
@@ -66,9 +66,9 @@ def q_count_logreg_fit(spark, sf):
     sp = split_corpus(spark, sf)
     docs = sp.select("row_id", "split", F.col("label").cast("double").alias("label"),
                      FE.grams(F.col("text"), 1).alias("grams"))
-    occ = docs.select("row_id", "split", F.explode("grams").alias("term"))
-    terms = L.vocabulary_terms(FE.fit_vocabulary(occ.where(F.col("split") == "train"), 10000), 10000)
     tr = docs.where(F.col("split") == "train")
+    dtc = FE.doc_term_table(tr.select("row_id", F.explode("grams").alias("term")))
+    terms = L.vocabulary_terms(FE.fit_vocabulary_counts(dtc, 10000), 10000)
     model = L.pipeline(terms, L.logistic_regression(tr.count(), maxIter=ITERS)).fit(tr)
     return _preds(model.transform(docs))
 
