@@ -43,3 +43,9 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 def text_or_empty(name: str = "text"):
     return F.coalesce(F.col(name), F.lit(""))
+
+
+def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
+    """Hint a broadcast of a (narrow) table that counts at most ``rows`` rows;
+    beyond that Spark joins by shuffle."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

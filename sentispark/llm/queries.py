@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentispark.llm import chat, grace, ring
+from sentispark.llm import chat, grace, jaccard, packing, ring, secret_scan, toxicity, warc
 from sentispark.llm.common import read_table
 
 
@@ -31,5 +31,35 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_digests(chat.format_chat(turns))
 
 
-QUERIES = {"op1_ring": op1_ring, "op2_grace_dedup": op2_grace_dedup, "op3_chat": op3_chat}
-ORACLES = {"op2_grace_dedup": OP2_SQL}
+def op4_factorization_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op5_jaccard_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(read_table(spark, sf_dir, "documents"))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.piece_digests(packing.pack_documents(read_table(spark, sf_dir, "documents")))
+
+
+def op8_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secret_scan.secret_digests(secret_scan.scan_secrets(docs, secret_scan.train_markov(docs)))
+
+
+def op9_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read_table(spark, sf_dir, "pages"))
+
+
+OP9_SQL = """
+WITH p AS (SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS n, sha1(coalesce(html, '')) AS d FROM pages),
+g AS (SELECT *, max(page_id) OVER (PARTITION BY d, n) AS last FROM p)
+SELECT page_id, n AS payload_bytes, d AS payload_digest,
+  CASE WHEN n >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 1000 AND page_id <> last THEN last END AS refers_to FROM g"""
+
+QUERIES = {f.__name__: f for f in (
+    op1_ring, op2_grace_dedup, op3_chat, op4_factorization_machine, op5_jaccard_tiles, op6_packing,
+    op8_markov_secrets, op9_warc_index)}
+ORACLES = {"op2_grace_dedup": OP2_SQL, "op9_warc_index": OP9_SQL}
