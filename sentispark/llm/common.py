@@ -32,12 +32,12 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     return path
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Cut the lineage: write ``df`` as a Parquet table in the shared folder
     and read it back.  Unlike ``checkpoint()`` the result is compressed and its
     scans read only the columns asked for."""
     path = shared_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -8,15 +8,19 @@ The result is exact; hashes of 64 bits stand for shingles.
    linked sets share a shingle among the first ``n - ceil(3n/4) + 1`` of each, so
    these go to one exchange by shingle.  Shingles that only one set holds drop out.
    Frequency is counted over all documents; it moves only the order, never the result.
+   Prefixes are longer by ``SHARED - 1``, and then linked sets share ``SHARED`` shingles there (or their
+   whole least overlap, if that is smaller), which one common phrase does not reach.
 3. *Stars.*  In each shingle's group, sorted by size, members pair with one leader
    of their size band.  Verified pairs give first components.  A group of copies costs as many
    pairs as it has members.
-4. *Tiles.*  Only groups that still hold several components need more: their members,
-   sorted by size, are cut into blocks, and blocks of compatible sizes meet in tiles of
-   bounded size, spread over tasks.  In a tile, sizes, prefix positions and then bitmaps rule pairs
-   out: a set's signature is the parity of its hashes over 2048 bits, so the
-   bits in which two differ are at most |A ^ B| and bound the overlap from above.
-5. *Verification* of what is left by intersecting the sorted arrays, and components.
+4. *Tiles.*  Only groups that still hold several components need more.  Up to ``SMALL`` members
+   are paired at once.  The members of larger groups, sorted by size, are cut into
+   blocks, and blocks of compatible sizes meet in tiles of bounded size, spread over tasks.  In a
+   tile, sizes, prefix positions and then bitmaps rule pairs out: a set's signature is the parity
+   of its hashes over 2048 bits, so the bits in which two differ are at most |A ^ B| and bound the
+   overlap from above.
+5. *Verification* of what is left: the bitmap bound again, then the intersection of the
+   sorted arrays, which are made anew for the sets in question only; and components.
 
 Defined results: null and empty texts have the empty set and link with nothing; a
 null doc_id is returned and links with nothing; rows that repeat a doc_id count as
@@ -41,6 +45,8 @@ from sentispark.llm.shingles import WordHashes, shingle_sets
 
 BITS = 2048
 BLOCK = 1024
+SMALL = 64
+SHARED = 3
 #: Most frequent shingles that sort last, at most so many (8 bytes each travel to the tasks).
 FREQUENT = 1 << 17
 #: Doc ids (8 bytes) are broadcast up to here, joined by shuffle beyond.
@@ -53,7 +59,7 @@ def need(a, b):
 
 
 def prefix_length(n):
-    return n - -(-3 * n // 4) + 1
+    return min(n, n - -(-3 * n // 4) + SHARED)
 
 
 def signature(values: np.ndarray) -> np.ndarray:
@@ -129,7 +135,7 @@ def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def could_link(a, pa_, b, pb):
     """Sizes a <= b and positions of a shared shingle allow the pair a link."""
-    least = need(a, b)
+    least = need(a, b) - SHARED + 1
     return (4 * a >= 3 * b) & (pa_ <= a - least) & (pb <= b - least)
 
 
@@ -210,7 +216,7 @@ def verified(pairs: DataFrame, signed: DataFrame) -> DataFrame:
             .mapInArrow(run, "a long, b long").distinct())
 
 
-def tile_pairs(x: pd.DataFrame, y: pd.DataFrame | None) -> tuple[np.ndarray, np.ndarray]:
+def tile_pairs(x: pd.DataFrame, y: pd.DataFrame | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Pairs between two blocks (or within one) that sizes, positions and bitmaps allow
     and that lie in different components.  Columns ``place, rep, comp, bits``; every row
     of ``x`` sorts before every row of ``y`` by size."""
@@ -219,7 +225,7 @@ def tile_pairs(x: pd.DataFrame, y: pd.DataFrame | None) -> tuple[np.ndarray, np.
     (na, pa_), (nb, pb) = (((p := d["place"].to_numpy()) >> 32, p & 0xFFFFFFFF) for d in (x, y))
     bits_a, bits_b = (np.frombuffer(b"".join(d["bits"]), np.uint64).reshape(len(d), -1) for d in (x, y))
     comp_a, comp_b, rep_a, rep_b = x["comp"].to_numpy(), y["comp"].to_numpy(), x["rep"].to_numpy(), y["rep"].to_numpy()
-    out_a, out_b = [], []
+    out_a, out_b, out_least = [], [], []
     for i in range(len(x)):
         ok = could_link(na[i], pa_[i], nb, pb) & (comp_b != comp_a[i])
         if within:
@@ -230,12 +236,53 @@ def tile_pairs(x: pd.DataFrame, y: pd.DataFrame | None) -> tuple[np.ndarray, np.
             j = j[na[i] + nb[j] - apart >= 2 * need(na[i], nb[j])]
             out_a.append(np.full(len(j), rep_a[i]))
             out_b.append(rep_b[j])
+            out_least.append(np.minimum(SHARED, need(na[i], nb[j])))
     none = [np.zeros(0, np.int64)]
-    return np.concatenate(out_a or none), np.concatenate(out_b or none)
+    return np.concatenate(out_a or none), np.concatenate(out_b or none), np.concatenate(out_least or none)
+
+
+def _small_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows ``h, place, rep, comp`` sorted by group, groups of at most ``SMALL`` rows -> possible
+    pairs ``a, b, least`` (shingles they must share in their prefixes), once a shingle."""
+    held = None
+    for batch in batches:
+        rows = [c.to_numpy() for c in batch.columns]
+        if held is not None:
+            rows = [np.concatenate(x) for x in zip(held, rows)]
+        if not len(rows[0]):
+            continue
+        end = int(np.searchsorted(rows[0], rows[0][-1]))  # the last group may go on
+        held = [c[end:] for c in rows]
+        yield _pairs_within(*(c[:end] for c in rows))
+    if held is not None:
+        yield _pairs_within(*held)
+
+
+def _pairs_within(h, place, rep, comp) -> pa.RecordBatch:
+    n, pos = place >> 32, place & 0xFFFFFFFF
+    out = [[], [], []]
+    for d in range(1, SMALL):
+        same = np.flatnonzero(h[d:] == h[:-d])
+        if not len(same):
+            break
+        i, j = same, same + d
+        ok = (comp[i] != comp[j]) & could_link(n[i], pos[i], n[j], pos[j])
+        i, j = i[ok], j[ok]
+        out[0].append(np.minimum(rep[i], rep[j]))
+        out[1].append(np.maximum(rep[i], rep[j]))
+        out[2].append(np.minimum(SHARED, need(n[i], n[j])))
+    none = [np.zeros(0, np.int64)]
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x or none)) for x in out], names=["a", "b", "least"])
+
+
+def _enough(pairs: DataFrame) -> DataFrame:
+    """Pairs found under as many shingles as linked sets share at least."""
+    return (pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.min("least").alias("least"))
+            .where("n >= least").select("a", "b"))
 
 
 def _tiles(groups: DataFrame, block: int) -> DataFrame:
-    """Pairs of open groups ``h, place, rep, comp, bits`` that tiles can't rule out."""
+    """Pairs ``a, b, least`` of large open groups ``h, place, rep, comp, bits`` that tiles can't rule out."""
     order = Window.partitionBy("h").orderBy("place", "rep")
     rows = groups.withColumn("blk", F.floor((F.row_number().over(order) - 1) / block).cast("int"))
     rows = written(rows, "blocks")
@@ -253,13 +300,12 @@ def _tiles(groups: DataFrame, block: int) -> DataFrame:
         held = None
 
         def solve(whole: pd.DataFrame) -> pd.DataFrame:
-            a, b = [], []
+            got = []
             for _, t in whole.groupby(["h", "i", "j"], sort=False):
                 x, y = t[t["side"] == 0], t[t["side"] == 1]
-                got = tile_pairs(x, y if len(y) or t["i"].iloc[0] != t["j"].iloc[0] else None)
-                a.append(got[0])
-                b.append(got[1])
-            return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)}).drop_duplicates()
+                got.append(tile_pairs(x, y if len(y) or t["i"].iloc[0] != t["j"].iloc[0] else None))
+            a, b, least = (np.concatenate(x) for x in zip(*got))
+            return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "least": least})
 
         for b in batches:  # the last tile of a batch may go on in the next
             b = b if held is None else pd.concat([held, b], ignore_index=True)
@@ -272,39 +318,55 @@ def _tiles(groups: DataFrame, block: int) -> DataFrame:
 
     return (left.unionAll(right).select("h", "i", "j", "side", "place", "rep", "comp", "bits")
             .repartition("h", "i", "j").sortWithinPartitions("h", "i", "j", "side", "place", "rep")
-            .mapInPandas(run, "a long, b long").distinct())
+            .mapInPandas(run, "a long, b long, least long"))
+
+
+def _signed_of(texts: DataFrame, ids: DataFrame, words: int, label: str = "signed") -> DataFrame:
+    """:func:`_signed` of the documents ``ids`` (column ``rep``), as a table."""
+    ids = broadcast_if_small(ids, BROADCAST_IDS)
+    return written(_signed(texts.join(ids, texts["doc_id"] == ids["rep"], "left_semi"), words), label)
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("rep")).unionAll(pairs.select(F.col("b").alias("rep"))).distinct()
 
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5,
-                       block: int = BLOCK) -> DataFrame:
+                       block: int = BLOCK, small: int = SMALL) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row (smallest doc_id reachable by links)."""
     texts = _texts(docs, key, text)
     frequent = frequent_shingles(texts, words)
     sets = written(_sets(texts, words, frequent), "sets")
     some = sets.where("n > 0 and doc_id is not null")
-    classes = some.groupBy("digest").agg(F.min(F.struct("doc_id", "n", "prefix")).alias("s"))
-    reps = classes.select("digest", F.col("s.doc_id").alias("rep"), F.col("s.n").alias("n"), F.col("s.prefix").alias("prefix"))
-    postings = reps.select("rep", "n", "prefix").mapInArrow(_postings, "h long, place long, rep long")
+    classes = some.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("rows"))
+    member = written(some.select("doc_id", "digest").join(classes.where("rows > 1"), "digest", "left")
+                     .select("doc_id", F.coalesce("rep", "doc_id").alias("rep")), "classes")
+    copies = broadcast_if_small(member.where("doc_id <> rep").select("doc_id").distinct(), BROADCAST_IDS)
+    reps = some.join(copies, "doc_id", "left_anti").select(F.col("doc_id").alias("rep"), "n", "prefix")
+    postings = reps.mapInArrow(_postings, "h long, place long, rep long")
     groups = written(postings.repartition("h").sortWithinPartitions("h", "place", "rep")
                      .mapInArrow(_lead, "h long, place long, rep long, leader long"), "groups")
-    ids = broadcast_if_small(groups.select("rep").distinct(), BROADCAST_IDS)
-    signed = written(_signed(texts.join(ids, texts["doc_id"] == ids["rep"], "left_semi"), words), "signed")
-    stars = groups.where("leader is not null").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
-    first = written(verified(stars, signed), "links")
+
+    stars = written(groups.where("leader is not null").select(F.col("leader").alias("a"), F.col("rep").alias("b"))
+                    .distinct(), "stars")
+    first = written(verified(stars, _signed_of(texts, _ends(stars), words)), "links")
     label = components(first)
 
     owned = groups.select("h", "place", "rep").join(label, groups["rep"] == label["node"], "left").select(
         "h", "place", "rep", F.coalesce("component", "rep").alias("comp"))
     owned = written(owned, "owned")
-    still = owned.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("h")
-    bits = signed.select("rep", "bits")
-    tiled = _tiles(owned.join(still, "h", "left_semi").join(bits, "rep"), block)
-    more = written(verified(tiled, signed), "links")
+    still = (owned.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("rows"))
+             .where("lo < hi"))
+    few = (owned.join(still.where(F.col("rows") <= small).select("h"), "h", "left_semi").select("h", "place", "rep", "comp")
+           .repartition("h").sortWithinPartitions("h", "place", "rep").mapInArrow(_small_pairs, "a long, b long, least long"))
+    many = written(owned.join(still.where(F.col("rows") > small).select("h"), "h", "left_semi")
+                   .select("h", "place", "rep", "comp"), "large")
+    bits = _signed_of(texts, many.select("rep").distinct(), words).select("rep", "bits")
+    rest = written(_enough(few.unionAll(_tiles(many.join(bits, "rep"), block))), "pairs")
+    more = written(verified(rest, _signed_of(texts, _ends(rest), words)), "links")
     final = components(label.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more))
     # rows that share a doc_id share a component: their classes hang together by the id
-    member = some.select("doc_id", "digest").join(reps.select("digest", "rep"), "digest")
-    final = _with_repeats(member, final)
-    node = final.select(F.col("node").alias("__node"), F.col("component").alias("__component"))
+    node = _with_repeats(member, final).select(F.col("node").alias("__node"), F.col("component").alias("__component"))
     return (sets.select("doc_id", "n").join(node, F.col("doc_id") == F.col("__node"), "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.coalesce("__component", "doc_id").alias("component_id")))

@@ -48,7 +48,7 @@ _ENCODERS: dict = {}
 
 
 def encoder(path: str):
-    """Text -> ids of a byte-level BPE file of the ``tokenizers`` library.  The
+    """Text -> ids (numpy) of a byte-level BPE file of the ``tokenizers`` library.  The
     file's vocabulary is run by tiktoken's merge loop (same ids, a third of the
     CPU); strings of special tokens are ordinary text."""
     if path not in _ENCODERS:
@@ -60,16 +60,19 @@ def encoder(path: str):
         hidden = [b for b in range(256) if b not in set(shown)]
         byte_of = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
         ranks = {bytes(byte_of[c] for c in tok): i for tok, i in spec["model"]["vocab"].items() if tok not in special}
+        if max(ranks.values()) > 0xFFFF:
+            raise ValueError("token ids are kept in 16 bits")
         _ENCODERS[path] = tiktoken.Encoding(path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
                                             special_tokens={})
-    return _ENCODERS[path].encode_ordinary
+    enc = _ENCODERS[path]
+    return lambda text: enc.encode_to_numpy(text, allowed_special=set(), disallowed_special=())
 
 
 _TOKENS = "doc_id long, source string, pid int, start long, n long, ids binary"
 
 
 def tokenised(docs: DataFrame, path: str = VOCABULARY, end_id: int = END_ID) -> DataFrame:
-    """``doc_id, source, pid, start, n, ids`` (little-endian uint32): ``start`` counts
+    """``doc_id, source, pid, start, n, ids`` (little-endian uint16): ``start`` counts
     the tokens of the source before the document in its partition ``pid``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, pid, seen = encoder(path), TaskContext.get().partitionId(), {}
@@ -81,11 +84,10 @@ def tokenised(docs: DataFrame, path: str = VOCABULARY, end_id: int = END_ID) ->
                 starts, sizes, ids = [], [], []
                 for source, text in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
                     got = encode(text)
-                    got.append(end_id)
                     starts.append(seen.get(source, 0))
-                    sizes.append(len(got))
-                    seen[source] = starts[-1] + len(got)
-                    ids.append(np.array(got, "<u4").tobytes())
+                    sizes.append(len(got) + 1)
+                    seen[source] = starts[-1] + sizes[-1]
+                    ids.append(np.append(got, np.uint32(end_id)).astype("<u2").tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0), b.column(1), pa.array([pid] * len(ids), pa.int32()), pa.array(starts, pa.int64()),
                      pa.array(sizes, pa.int64()), pa.array(ids, pa.binary())], schema=schema)
@@ -197,7 +199,7 @@ _PIECES = ("doc_id long, source string, start long, length long, doc_tokens long
 
 def pack(tokens: DataFrame, window: int = 2048, shares: Mapping[str, float] | None = None) -> DataFrame:
     """Pieces of a table made by :func:`tokenised`: ``doc_id, source, start, length,
-    doc_tokens, sequence_id, offset, ids``; the pieces of a sequence, by offset, are the
+    doc_tokens, sequence_id, offset, ids`` (little-endian uint32); the pieces of a sequence, by offset, are the
     sequence.  ``shares``: target proportions by source (others get none until the
     named queues are empty); by default each source's share of all tokens, with
     which all queues run dry together."""
@@ -228,8 +230,8 @@ def pack(tokens: DataFrame, window: int = 2048, shares: Mapping[str, float] | No
                 source = np.array([number[x] for x in b.column(1).to_pylist()], np.int64)
                 sizes = b.column(2).to_numpy()
                 doc, start, length, seq, offset = cut(rounds, source, b.column(4).to_numpy(), sizes)
-                ids = b.column(3).to_pylist()
-                held = [ids[d][4 * a:4 * (a + n)] for d, a, n in zip(doc.tolist(), start.tolist(), length.tolist())]
+                ids = [np.frombuffer(x, "<u2").astype("<u4") for x in b.column(3).to_pylist()]
+                held = [ids[d][a:a + n].tobytes() for d, a, n in zip(doc.tolist(), start.tolist(), length.tolist())]
                 take = pa.array(doc)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).take(take), b.column(1).take(take), pa.array(start), pa.array(length),
@@ -240,7 +242,7 @@ def pack(tokens: DataFrame, window: int = 2048, shares: Mapping[str, float] | No
 
 def pack_documents(docs: DataFrame, path: str = VOCABULARY, window: int = 2048,
                    shares: Mapping[str, float] | None = None) -> DataFrame:
-    return pack(written(tokenised(docs, path), "tokens"), window, shares)
+    return pack(written(tokenised(docs, path), "tokens", "zstd"), window, shares)
 
 
 def piece_digests(pieces: DataFrame) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentispark.llm import chat, grace, jaccard, packing, ring, secret_scan, toxicity, warc
+from sentispark.llm import (chat, decontaminate, grace, jaccard, packing, passages, ring,
+                            secret_scan, toxicity, warc)
 from sentispark.llm.common import read_table
 
 
@@ -43,6 +44,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.piece_digests(packing.pack_documents(read_table(spark, sf_dir, "documents")))
 
 
+def op7_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.near_duplicate_passages(read_table(spark, sf_dir, "documents"))
+
+
 def op8_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return secret_scan.secret_digests(secret_scan.scan_secrets(docs, secret_scan.train_markov(docs)))
@@ -59,7 +64,11 @@ SELECT page_id, n AS payload_bytes, d AS payload_digest,
   CASE WHEN n >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN n >= 1000 AND page_id <> last THEN last END AS refers_to FROM g"""
 
+def op10_cgk_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_ring, op2_grace_dedup, op3_chat, op4_factorization_machine, op5_jaccard_tiles, op6_packing,
-    op8_markov_secrets, op9_warc_index)}
+    op7_compact_windows, op8_markov_secrets, op9_warc_index, op10_cgk_decontamination)}
 ORACLES = {"op2_grace_dedup": OP2_SQL, "op9_warc_index": OP9_SQL}
