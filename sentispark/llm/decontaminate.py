@@ -238,24 +238,25 @@ def find_leaks(docs: DataFrame, items: DataFrame, **search: float) -> DataFrame:
     return out
 
 
+def _holds(block: list[tuple[int, str]], search: dict):
+    @F.pandas_udf("boolean")
+    def holds(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        index, cache = Items(block, **search), WordHashes()
+        for texts in batches:
+            hit = np.zeros(len(texts), bool)
+            for lo in range(0, len(texts), 500):
+                for d, *_ in index.search(texts.iloc[lo:lo + 500].tolist(), cache):
+                    hit[lo + d] = True
+            yield pd.Series(hit)
+
+    return holds
+
+
 def leaked(items: DataFrame, text: str = "text", **search: float) -> Column:
     """Boolean column: the text holds a benchmark item."""
-    columns = []
+    out = F.lit(False)
     for block in item_blocks(items):
-        @F.pandas_udf("boolean")
-        def holds(batches: Iterator[pd.Series], block=block) -> Iterator[pd.Series]:
-            index, cache = Items(block, **search), WordHashes()
-            for texts in batches:
-                hit = np.zeros(len(texts), bool)
-                for lo in range(0, len(texts), 500):
-                    for d, *_ in index.search(texts.iloc[lo:lo + 500].tolist(), cache):
-                        hit[lo + d] = True
-                yield pd.Series(hit)
-
-        columns.append(holds(F.coalesce(F.col(text), F.lit(""))))
-    out = columns[0]
-    for c in columns[1:]:
-        out = out | c
+        out = out | _holds(block, search)(F.coalesce(F.col(text), F.lit("")))
     return out
 
 
