@@ -11,7 +11,7 @@ The result is exact; hashes of 64 bits stand for shingles.
    Prefixes are longer by ``SHARED - 1``, and then linked sets share ``SHARED`` shingles there (or their
    whole least overlap, if that is smaller), which one common phrase does not reach.
 3. *Stars.*  In each shingle's group, sorted by size, members pair with one leader
-   of their size band.  Verified pairs give first components.  A group of copies costs as many
+   of their size band.  Pairs met under ``SHARED`` shingles are verified and give first components.  A group of copies costs as many
    pairs as it has members.
 4. *Tiles.*  Only groups that still hold several components need more.  Up to ``SMALL`` members
    are paired at once.  The members of larger groups, sorted by size, are cut into
@@ -141,7 +141,8 @@ def could_link(a, pa_, b, pb):
 
 def _lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by ``h, place, rep`` -> rows of shingles that two or more sets hold, with
-    ``leader``: the first set of the row's size band in the group, if the pair may link.
+    ``leader``: the first set of the row's size band in the group, if the pair may link, and
+    ``least``: the shingles that pair must share in its prefixes.
 
     Keeps one row between batches: the last group's leader."""
     ghost, told = None, True  # the leader, and whether it has been passed on
@@ -176,7 +177,8 @@ def _lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = (lead != np.arange(len(h))) & (rep[lead] != rep) & could_link(n[lead], pos[lead], n, pos)
         yield pa.RecordBatch.from_arrays(
             [pa.array(h[keep]), pa.array(place[keep]), pa.array(rep[keep]),
-             pa.array(rep[lead][keep], mask=~pair[keep])], names=["h", "place", "rep", "leader"])
+             pa.array(rep[lead][keep], mask=~pair[keep]),
+             pa.array(np.minimum(SHARED, need(n[lead], n))[keep])], names=["h", "place", "rep", "leader", "least"])
 
 
 def _signed(docs: DataFrame, words: int) -> DataFrame:
@@ -345,10 +347,10 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     reps = some.join(copies, "doc_id", "left_anti").select(F.col("doc_id").alias("rep"), "n", "prefix")
     postings = reps.mapInArrow(_postings, "h long, place long, rep long")
     groups = written(postings.repartition("h").sortWithinPartitions("h", "place", "rep")
-                     .mapInArrow(_lead, "h long, place long, rep long, leader long"), "groups")
+                     .mapInArrow(_lead, "h long, place long, rep long, leader long, least long"), "groups")
 
-    stars = written(groups.where("leader is not null").select(F.col("leader").alias("a"), F.col("rep").alias("b"))
-                    .distinct(), "stars")
+    stars = written(_enough(groups.where("leader is not null").select(
+        F.col("leader").alias("a"), F.col("rep").alias("b"), "least")), "stars")
     first = written(verified(stars, _signed_of(texts, _ends(stars), words)), "links")
     label = components(first)
 
