@@ -188,35 +188,37 @@ class Index:
     def __init__(self, folder: str, parts: list[tuple[str, str]]):
         self.fs, self.root = filesystem(folder)
         self.parts, self.firsts = parts, [k for k, _ in parts]
-        self.part, self.directory, self.at, self.lines = None, [], None, []
+        self.part, self.directory, self.heads = None, [], []
+        self.at, self.lines, self.keys = None, [], []
 
     def _read(self, name: str, offset: int = 0, length: int | None = None) -> bytes:
         with self.fs.open_input_file(f"{self.root}/{name}") as f:
             return gzip.decompress(f.read_at(length, offset) if length is not None else f.read())
 
-    def _block(self, p: int, b: int) -> list[list[str]]:
+    def _open_part(self, p: int) -> None:
         if self.part != p:
             self.directory = json.loads(self._read(f"{self.parts[p][1]}.directory"))
+            self.heads = [d[0] for d in self.directory]
             self.part, self.at = p, None
-        if b >= len(self.directory):
-            return []
+
+    def _open_block(self, p: int, b: int) -> None:
         if self.at != b:
             _, offset, length = self.directory[b]
-            self.lines = [x.split("\t") for x in self._read(f"{self.parts[p][1]}.blocks", offset, length).decode().split("\n")]
+            data = self._read(f"{self.parts[p][1]}.blocks", offset, length).decode()
+            self.lines = [x.split("\t") for x in data.split("\n")]
+            self.keys = [x[0] for x in self.lines]
             self.at = b
-        return self.lines
 
     def find(self, key: str) -> list[tuple[str, int, int]]:
         """``(file, offset, length)`` of all captures with the key."""
         found = []
         p = max(0, bisect_left(self.firsts, key) - 1)  # equal keys may begin in the part before
         while p < len(self.parts) and self.firsts[p] <= key:
-            self._block(p, 0)
-            b = max(0, bisect_left([d[0] for d in self.directory], key) - 1)
-            while b < len(self.directory) and self.directory[b][0] <= key:
-                lines = self._block(p, b)
-                keys = [x[0] for x in lines]
-                for x in lines[bisect_left(keys, key):bisect_right(keys, key)]:
+            self._open_part(p)
+            b = max(0, bisect_left(self.heads, key) - 1)
+            while b < len(self.heads) and self.heads[b] <= key:
+                self._open_block(p, b)
+                for x in self.lines[bisect_left(self.keys, key):bisect_right(self.keys, key)]:
                     found.append((x[1], int(x[2]), int(x[3])))
                 b += 1
             p += 1
@@ -265,7 +267,8 @@ def read_records(places: DataFrame, folder: str) -> DataFrame:
         if file is not None:
             file.close()
 
-    return places.repartitionByRange("file", "offset").sortWithinPartitions("file", "offset").mapInPandas(run, _RECORDS)
+    # by hash: a range exchange would look everything up once more to sample it
+    return places.repartition("file").sortWithinPartitions("file", "offset").mapInPandas(run, _RECORDS)
 
 
 _NAMES = [x.split()[0] for x in _RECORDS.split(", ")]
