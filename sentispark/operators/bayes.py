@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sentispark.operators.features import maybe_broadcast
 
 
 def _priors(labels: DataFrame, label: str = "label") -> DataFrame:
@@ -41,11 +40,10 @@ def multinomial_nb_fit(counts: DataFrame, labels: DataFrame, vocab: DataFrame, a
 
 
 def linear_score(counts: DataFrame, weights: DataFrame, bias: DataFrame, docs: DataFrame,
-                 value: str = "tf", key: str = "row_id", vocab_bound: int | None = None) -> DataFrame:
+                 value: str = "tf", key: str = "row_id") -> DataFrame:
     """Score = bias + sum(value * w) per document; documents with no known
     term get the bias alone.  ``docs`` lists every document to score."""
-    wt = maybe_broadcast(weights, vocab_bound) if vocab_bound else weights
-    s = counts.join(wt, "term").groupBy(key).agg(F.sum(F.col(value) * F.col("w")).alias("__s"))
+    s = counts.join(weights, "term").groupBy(key).agg(F.sum(F.col(value) * F.col("w")).alias("__s"))
     return (docs.join(s, key, "left").crossJoin(F.broadcast(bias))
             .withColumn("score", F.col("bias") + F.coalesce("__s", F.lit(0.0)))
             .drop("__s", "bias"))
@@ -96,12 +94,10 @@ def nearest_centroid(train_vals: DataFrame, labels: DataFrame, eval_vals: DataFr
             .drop("x_sq", "dot0", "dot1", "m0", "m1"))
 
 
-def lexicon_polarity(tokens: DataFrame, lexicon: DataFrame, docs: DataFrame, key: str = "row_id",
-                     lexicon_bound: int | None = None) -> DataFrame:
+def lexicon_polarity(tokens: DataFrame, lexicon: DataFrame, docs: DataFrame, key: str = "row_id") -> DataFrame:
     """Mean polarity of the document's words found in the lexicon
     ``(term, polarity)``; no match -> 0; predict 0 if polarity < 0 else 1."""
-    lx = maybe_broadcast(lexicon, lexicon_bound) if lexicon_bound else lexicon
-    pol = tokens.join(lx, "term").groupBy(key).agg(F.avg("polarity").alias("polarity"))
+    pol = tokens.join(lexicon, "term").groupBy(key).agg(F.avg("polarity").alias("polarity"))
     return (docs.join(pol, key, "left")
             .withColumn("polarity", F.coalesce("polarity", F.lit(0.0)))
             .withColumn("pred", F.when(F.col("polarity") < 0, 0).otherwise(1)))

@@ -2,8 +2,7 @@
 
 Long form ``(row_id, term, value)`` is what SQL can check and what scales:
 the vocabulary is a top-k (``max_features`` rows, a size fixed by the caller)
-and is joined by broadcast only while that bound is below
-``BROADCAST_VOCAB_LIMIT``; past it the join is a shuffle join on ``term``.
+and Catalyst chooses its joins by measured size.
 At the ML edge the same vocabulary feeds ``CountVectorizerModel`` so vectors
 are built in the JVM.
 """
@@ -16,13 +15,6 @@ from pyspark.sql import functions as F
 from sentispark.functions import text as T
 from sentispark.operators.terms import remove_stop_words
 
-BROADCAST_VOCAB_LIMIT = 2_000_000  # terms; ~100 bytes each -> ~200 MB worst case
-
-
-def maybe_broadcast(df: DataFrame, row_bound: int, limit: int = BROADCAST_VOCAB_LIMIT) -> DataFrame:
-    """Broadcast ``df`` only when its row count is bounded by ``row_bound`` <= ``limit``."""
-    return F.broadcast(df) if row_bound <= limit else df
-
 
 def grams(text: Column, ngram_max: int = 1, stop_words=None) -> Column:
     """T16 + T17: n-grams (1..ngram_max) of a cleaned text; stop words first."""
@@ -77,7 +69,6 @@ def vectorize_counts(dtc: DataFrame, vocab: DataFrame, max_features: int | None,
                      key: str = "row_id") -> DataFrame:
     """M2 long form from per-document counts: ``(row_id, term, index, tf)``."""
     v = vocab.select("term", "index")
-    v = maybe_broadcast(v, max_features) if max_features else v
     return dtc.join(v, "term").select(key, "term", "index", "tf")
 
 
@@ -85,7 +76,6 @@ def count_vectorize(occ: DataFrame, vocab: DataFrame, max_features: int | None,
                     key: str = "row_id") -> DataFrame:
     """M2 long form: ``(row_id, term, index, tf)`` restricted to the vocabulary."""
     v = vocab.select("term", "index")
-    v = maybe_broadcast(v, max_features) if max_features else v
     return (occ.join(v, "term").groupBy(key, "term", "index")
             .agg(F.count(F.lit(1)).alias("tf")))
 
@@ -99,7 +89,6 @@ def tfidf(counts: DataFrame, vocab_df: DataFrame, n_docs: DataFrame, max_feature
     """
     idf = (vocab_df.crossJoin(F.broadcast(n_docs))
            .select("term", (F.log((F.col("n") + 1) / (F.col("df") + 1)) + 1).alias("idf")))
-    idf = maybe_broadcast(idf, max_features) if max_features else idf
     w = counts.join(idf, "term").withColumn("tfidf", F.col("tf") * F.col("idf"))
     return l2_normalize(w, "tfidf", key) if normalize else w
 

@@ -102,7 +102,8 @@ def class_head_sample(df: DataFrame, frac: float, label_col: str = "target",
     taken from the class-count table (one row per class).
     """
     from pyspark.sql import Window
-    ranked = global_row_number(df, [F.col(label_col), F.col(order_col)], "__g")
+    place = global_row_number(df.select(label_col, order_col), [F.col(label_col), F.col(order_col)], "__g")
+    ranked = df.join(place, [label_col, order_col])
     counts = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("__c"))
     w = Window.orderBy(label_col).rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(label_col, F.coalesce(F.sum("__c").over(w), F.lit(0)).alias("__start"))

@@ -10,11 +10,14 @@ is that bound).  TF-IDF follows the study's formula
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+import math
+
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, LinearSVC, LogisticRegression,
                                        MultilayerPerceptronClassifier)
 from pyspark.ml.feature import (IDF, CountVectorizerModel, ElementwiseProduct, Normalizer, PCA,
                                 VectorSlicer)
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import DenseVector
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
@@ -22,13 +25,9 @@ from pyspark.sql import functions as F
 
 from sentispark.session import cut_lineage
 
-MAX_DRIVER_VOCAB = 2_000_000
-
 
 def vocabulary_terms(vocab: DataFrame, max_features: int) -> list[str]:
     """Vocabulary terms in index order; bounded by ``max_features``."""
-    if max_features > MAX_DRIVER_VOCAB:
-        raise ValueError("vocabulary too large to hand to a CountVectorizerModel")
     rows = vocab.orderBy("index").select("term").collect()  # at most max_features rows
     return [r.term for r in rows]
 
@@ -74,7 +73,9 @@ def l1_select_then_svc(train: DataFrame, n_train: int, C: float = 1.0, tol: floa
     Returns a fitted PipelineModel."""
     l1 = LogisticRegression(regParam=1.0 / (C * max(n_train, 1)), elasticNetParam=1.0,
                             standardization=False, maxIter=max_iter).fit(train)
-    keep = [i for i, w in enumerate(l1.coefficients.toArray()) if abs(w) > tol] or [0]
+    keep = [i for i, w in enumerate(l1.coefficients.toArray()) if abs(w) > tol]
+    if not keep:  # nothing selected: the L1 model, which then is its intercept, decides
+        return PipelineModel([l1])
     slicer = VectorSlicer(inputCol="features", outputCol="__sel", indices=keep)
     svc = linear_svc(n_train, C, featuresCol="__sel", maxIter=max_iter)
     return Pipeline(stages=[slicer, svc]).fit(train)
@@ -103,41 +104,54 @@ def ridge_classifier(train: DataFrame, alpha: float = 1.0) -> RidgeClassifierMod
 
 
 class AdaBoostModel:
-    def __init__(self, stumps, alphas):
-        self.stumps, self.alphas = stumps, alphas
+    """Weighted stumps ``(feature, threshold, left, right)``; scored as one expression
+    over the features the stumps use."""
+
+    def __init__(self, trees, alphas):
+        self.alphas, self.stumps = alphas, []
+        for tree in trees:
+            root = tree._call_java("rootNode")
+            if tree.depth == 0:
+                self.stumps.append((0, float("inf"), root.prediction(), root.prediction()))
+            else:
+                self.stumps.append((root.split().featureIndex(), root.split().threshold(),
+                                    root.leftChild().prediction(), root.rightChild().prediction()))
 
     def transform(self, df: DataFrame) -> DataFrame:
+        if not self.stumps:
+            return df.withColumn("prediction", F.lit(0.0))
+        used = sorted({s[0] for s in self.stumps})
+        out = VectorSlicer(inputCol="features", outputCol="__used", indices=used).transform(df)
+        x = vector_to_array("__used")
         score = F.lit(0.0)
-        out = df
-        for k, (m, a) in enumerate(zip(self.stumps, self.alphas)):
-            m.setPredictionCol(f"__p{k}").setRawPredictionCol(f"__r{k}").setProbabilityCol(f"__q{k}")
-            out = m.transform(out)
-            score = score + F.lit(a) * (F.col(f"__p{k}") * 2 - 1)
-        drop = [c for k in range(len(self.stumps)) for c in (f"__p{k}", f"__r{k}", f"__q{k}")]
-        return out.withColumn("prediction", F.when(score > 0, 1.0).otherwise(0.0)).drop(*drop)
+        for a, (f, threshold, left, right) in zip(self.alphas, self.stumps):
+            vote = F.when(x[used.index(f)] <= F.lit(threshold), left).otherwise(right)
+            score = score + F.lit(a) * (vote * 2 - 1)
+        return out.withColumn("prediction", F.when(score > 0, 1.0).otherwise(0.0)).drop("__used")
 
 
 def adaboost_stumps(train: DataFrame, rounds: int = 50, checkpoint_every: int = 5) -> AdaBoostModel:
     """Discrete AdaBoost (SAMME, two classes) on depth-1 trees.  The
     sample weight is a column; its lineage is cut by a reliable checkpoint
     every few rounds so a lost executor recomputes at most those rounds."""
-    data = train.withColumn("w", F.lit(1.0))
+    data = cut_lineage(train.withColumn("w", F.lit(1.0)))
+    total = float(data.count())
     stumps, alphas = [], []
     for k in range(rounds):
         tree = DecisionTreeClassifier(maxDepth=1, weightCol="w", predictionCol="__p").fit(data)
         pred = tree.transform(data).withColumn("__miss", (F.col("__p") != F.col("label")).cast("double"))
-        err = pred.agg((F.sum(F.col("w") * F.col("__miss")) / F.sum("w")).alias("e")).first().e
+        missed = pred.agg(F.sum(F.col("w") * F.col("__miss"))).first()[0]
+        err = missed / total if missed is not None and total else None
         if err is None or err >= 0.5:
             break
         err = max(err, 1e-12)
-        import math
         a = 0.5 * math.log((1 - err) / err)
         stumps.append(tree)
         alphas.append(a)
         data = (pred.withColumn("w", F.col("w") * F.exp(F.lit(a) * (2 * F.col("__miss") - 1)))
                 .drop("__p", "rawPrediction", "probability", "__miss"))
-        total = data.agg(F.sum("w")).first()[0]
-        data = data.withColumn("w", F.col("w") / F.lit(total))
+        # the new weights' total follows from the error: no pass over the data
+        total = total * ((1 - err) * math.exp(-a) + err * math.exp(a))
         if (k + 1) % checkpoint_every == 0:
             data = cut_lineage(data)
         if err <= 1e-12:

@@ -3,17 +3,17 @@
 ``row_number() OVER (ORDER BY ...)`` with no PARTITION BY moves every row into
 one task.  The helpers here keep the work distributed:
 
-* rows are range-partitioned on the ordering (balanced by sampling) and sorted
-  inside each partition;
+* rows are range-partitioned on the ordering (balanced by sampling), sorted
+  inside each partition and tagged with the partition and their place in it;
+* the tagged rows are checkpointed.  Range boundaries are sampled anew each time
+  Spark plans the exchange, so rows and per-partition counts may only be taken
+  from one and the same run of it;
 * each partition counts (or sums) its rows -- a table with one row per
   partition, so it has a fixed, small size and is broadcast;
-* a running total over that small table gives each partition its offset;
-* the in-partition position comes from ``monotonically_increasing_id`` (the
-  low 33 bits are the row's index inside its partition), or, for running sums
-  of arbitrary columns, from a window partitioned by the partition id.
+* a running total over that small table gives each partition its offset.
 
-The ordering must be total (end it with a unique key) so that a recomputed
-partition, e.g. after an executor is lost, gets the same numbers.
+The checkpoint writes what travels: pass the ordering and a key and join wide
+rows back on the key.
 """
 
 from __future__ import annotations
@@ -21,49 +21,45 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_PID, _MID, _OFF, _N = "__pid", "__mid", "__off", "__n"
-
+from sentispark.session import cut_lineage
 
-def _parts(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return num_partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+_PID, _MID, _OFF, _N = "__pid", "__mid", "__off", "__n"
 
 
-def _sorted(df: DataFrame, order: list[Column], num_partitions: int | None) -> DataFrame:
-    return (df.repartitionByRange(_parts(df, num_partitions), *order)
-            .sortWithinPartitions(*order)
-            .withColumn(_PID, F.spark_partition_id()))
+def _tagged(df: DataFrame, order: list[Column], num_partitions: int | None) -> DataFrame:
+    parts = [num_partitions] if num_partitions else []
+    ordered = df.repartitionByRange(*parts, *order).sortWithinPartitions(*order)
+    # the low 33 bits of monotonically_increasing_id are the row's place in its partition
+    place = F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)
+    return cut_lineage(ordered.withColumn(_PID, F.spark_partition_id()).withColumn(_MID, place))
 
 
 def global_row_number(df: DataFrame, order: list[Column], name: str = "rn",
                       num_partitions: int | None = None) -> DataFrame:
     """Add ``name`` = 1-based position of the row in ``order`` (a total order)."""
-    tagged = (_sorted(df, order, num_partitions)
-              .withColumn(_MID, F.monotonically_increasing_id()))
-    local = F.col(_MID) - F.shiftleft(F.col(_PID).cast("long"), 33)
+    tagged = _tagged(df, order, num_partitions)
     counts = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_N))
     w = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(_PID, F.coalesce(F.sum(_N).over(w), F.lit(0)).alias(_OFF))
     return (tagged.join(F.broadcast(offsets), _PID)
-            .withColumn(name, F.col(_OFF) + local + 1)
+            .withColumn(name, F.col(_OFF) + F.col(_MID) + 1)
             .drop(_PID, _MID, _OFF))
 
 
 def global_running_sum(df: DataFrame, order: list[Column], sums: dict[str, Column],
                        num_partitions: int | None = None) -> DataFrame:
     """Add inclusive running sums ``{out_name: column}`` along ``order``."""
-    tagged = _sorted(df, order, num_partitions)
+    tagged = _tagged(df, order, num_partitions)
     part = tagged.groupBy(_PID).agg(*[F.sum(c).alias("__p_" + k) for k, c in sums.items()])
     w_small = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = part.select(_PID, *[F.coalesce(F.sum("__p_" + k).over(w_small), F.lit(0))
                                   .alias("__o_" + k) for k in sums])
-    w_local = (Window.partitionBy(_PID).orderBy(*order)
+    w_local = (Window.partitionBy(_PID).orderBy(_MID)
                .rowsBetween(Window.unboundedPreceding, 0))
     out = tagged.join(F.broadcast(offsets), _PID)
     for k, c in sums.items():
         out = out.withColumn(k, F.col("__o_" + k) + F.sum(c).over(w_local))
-    return out.drop(_PID, *["__o_" + k for k in sums])
+    return out.drop(_PID, _MID, *["__o_" + k for k in sums])
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: list[float],

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sentispark.operators.features import maybe_broadcast
 from sentispark.operators.ranking import global_row_number
 
 
@@ -20,12 +19,11 @@ def texts_to_sequences(docs: DataFrame, index: DataFrame, num_words: int | None
                        key: str = "row_id", text_col: str = "text") -> DataFrame:
     """Words -> ids in text order; unknown words and ids >= num_words drop.
 
-    The index is cut to ids < num_words first, so with ``num_words`` set the
-    broadcast side has at most ``num_words`` rows.
+    The index is cut to ids < num_words first; Catalyst chooses the join by its size.
     """
     idx = index.select(F.col("term"), F.col("id"))
     if num_words is not None:
-        idx = maybe_broadcast(idx.where(F.col("id") < num_words), num_words)
+        idx = idx.where(F.col("id") < num_words)
     occ = docs.select(key, F.posexplode(F.split(F.col(text_col), " ")).alias("pos", "term"))
     hits = occ.join(idx, "term")
     seqs = (hits.groupBy(key)

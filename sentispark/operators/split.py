@@ -2,11 +2,11 @@
 
 ``randomSplit`` is neither exact nor stable across partitionings, so rows are
 ordered by ``md5(seed || '-' || key)``.  The held-out set is the ``ceil(f*n)``
-rows with the smallest hashes.  Only the narrow (hash, key) table is sorted to
-find the cut; the full rows are then split by a filter against that one-row
-cut, so the wide rows never take part in a sort.  Inside the held-out rows
-(a small fraction) the first ``floor(m/2)`` by hash are validation, the rest
-test -- the sizes of two chained ``train_test_split`` calls.
+rows with the smallest hashes; of them the first ``floor(m/2)`` are validation, the
+rest test -- the sizes of two chained ``train_test_split`` calls.  Only the
+narrow (hash, key) table is sorted, to find the two cut points; every row's part
+is then a pure function of its key and the two points, so wide rows take part in no
+sort and two uses of one split agree.
 """
 
 from __future__ import annotations
@@ -24,20 +24,15 @@ def split_hash(key: Column, seed: int | str) -> Column:
 def train_val_test_split(df: DataFrame, key: str = "row_id", seed: int = 2000,
                          test_size: float = 0.02, split_col: str = "split") -> DataFrame:
     h = split_hash(F.col(key), seed)
-    keyed = df.withColumn("__h", h)
-    n = df.agg(F.count(F.lit(1)).alias("__n"))
-    n_vt = F.ceil(F.lit(test_size) * F.col("__n"))
-    ranked_keys = global_row_number(keyed.select("__h", key), [F.col("__h"), F.col(key)], "__r")
-    cut = (ranked_keys.crossJoin(F.broadcast(n)).where(F.col("__r") == n_vt)
-           .select(F.col("__h").alias("__cut_h"), F.col(key).alias("__cut_k"), F.col("__r").alias("__m")))
-    inside = (F.col("__h") < F.col("__cut_h")) | ((F.col("__h") == F.col("__cut_h")) & (F.col(key) <= F.col("__cut_k")))
-    marked = keyed.join(F.broadcast(cut), how="left").withColumn("__in", F.coalesce(inside, F.lit(False)))
-    train = marked.where(~F.col("__in")).withColumn(split_col, F.lit("train"))
-    held = global_row_number(marked.where(F.col("__in")), [F.col("__h"), F.col(key)], "__r2")
-    held = held.withColumn(split_col, F.when(F.col("__r2") <= F.floor(F.col("__m") / 2), "validation")
-                           .otherwise("test"))
-    drop = ["__h", "__cut_h", "__cut_k", "__m", "__in", "__r2"]
-    return train.drop(*drop).unionByName(held.drop(*drop))
+    ranked = global_row_number(df.select(h.alias("__h"), F.col(key).alias("__k")), [F.col("__h"), F.col("__k")], "__r")
+    n = ranked.agg(F.ceil(F.lit(test_size) * F.count(F.lit(1))).alias("__m"))
+    point = F.struct("__h", "__k")
+    cuts = (ranked.join(F.broadcast(n), F.col("__r") <= F.col("__m"))
+            .agg(F.max(F.when(F.col("__r") == F.floor(F.col("__m") / 2), point)).alias("__val"),
+                 F.max(F.when(F.col("__r") == F.col("__m"), point)).alias("__cut")))
+    own = F.struct(h.alias("__h"), F.col(key).alias("__k"))
+    part = (F.when(own <= F.col("__val"), "validation").when(own <= F.col("__cut"), "test").otherwise("train"))
+    return df.join(F.broadcast(cuts)).withColumn(split_col, part).drop("__val", "__cut")
 
 
 def split_sql(src: str, key: str = "row_id", seed: int = 2000, test_size: float = 0.02) -> str:

@@ -22,8 +22,7 @@ from sentispark.operators.ranking import global_row_number
 
 def remove_stop_words(tokens: Column, stop_words=ENGLISH_STOP_WORDS) -> Column:
     """T16 on a token array (the list is a literal of fixed, small size)."""
-    stops = F.array(*[F.lit(w) for w in stop_words])
-    return F.filter(tokens, lambda w: ~F.array_contains(stops, w))
+    return F.filter(tokens, lambda w: ~w.isin(*stop_words))
 
 
 def vocabulary(tokens: DataFrame, term_col: str = "term") -> DataFrame:
@@ -45,6 +44,11 @@ def term_freq_by_class(tokens: DataFrame, label_col: str = "target",
             .withColumn("total", F.col("negative") + F.col("positive")))
 
 
+def term_totals(tokens: DataFrame, term_col: str = "term") -> DataFrame:
+    """``(term, total)`` where no class is asked for."""
+    return tokens.groupBy(term_col).agg(F.count(F.lit(1)).alias("total"))
+
+
 def top_k(df: DataFrame, k: int, by: str, tie: str = "term", ascending: bool = False) -> DataFrame:
     """K1-K3: the first ``k`` rows by ``by`` (ties by ``tie`` ascending).
     Planned as TakeOrderedAndProject: each partition keeps its own top k."""

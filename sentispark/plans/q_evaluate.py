@@ -19,7 +19,7 @@ from sentispark.plans import q_terms as QT
 from sentispark.plans.catalog import register
 from sentispark.plans.q_features import WITH_SPLIT, split_corpus
 
-VOCAB = 10000
+VOCAB = 100_000
 
 
 # ---- shared Spark set-up ---------------------------------------------------------
@@ -36,7 +36,7 @@ def setup(spark, sf):
 def mnb_scores(spark, sf):
     sp, occ, vocab, counts, labels, train = setup(spark, sf)
     w, bias = B.multinomial_nb_fit(counts.join(train.select("row_id"), "row_id"), train, vocab)
-    s = B.linear_score(counts, w, bias, labels, vocab_bound=VOCAB)
+    s = B.linear_score(counts, w, bias, labels)
     return (s.withColumn("pred", F.when(F.col("score") > 0, 1).otherwise(0))
             .withColumn("prob", 1 / (1 + F.exp(-F.col("score")))))
 
@@ -45,7 +45,7 @@ def bnb_scores(spark, sf):
     sp, occ, vocab, counts, labels, train = setup(spark, sf)
     pres = counts.select("row_id", "term").withColumn("one", F.lit(1.0))
     w, bias = B.bernoulli_nb_fit(pres.join(train.select("row_id"), "row_id"), train, vocab)
-    s = B.linear_score(pres, w, bias, labels, value="one", vocab_bound=VOCAB)
+    s = B.linear_score(pres, w, bias, labels, value="one")
     return s.withColumn("pred", F.when(F.col("score") > 0, 1).otherwise(0))
 
 
@@ -62,7 +62,7 @@ def lexicon_pred(spark, sf):
     toks = C.explode_tokens(sp, keep=("row_id", "split", "target"))
     lex = (TM.term_scores(TM.term_freq_limited(toks.where(F.col("split") == "train"), 10000), bound=10000)
            .select("term", (F.col("pos_normcdf_hmean") - F.col("neg_normcdf_hmean")).alias("polarity")))
-    return B.lexicon_polarity(toks, lex, sp.select("row_id", "label", "split"), lexicon_bound=10000)
+    return B.lexicon_polarity(toks, lex, sp.select("row_id", "label", "split"))
 
 
 def heldout(df):
@@ -287,7 +287,7 @@ def q_model_leaderboard(spark, sf):
     return E.leaderboard(res)
 
 
-SWEEP = (2000, 4000, 6000, 8000, 10000)
+SWEEP = tuple(range(10_000, 100_001, 10_000))
 SWEEP_SQL = with_split(SETUP_CTES, f"""
 vr AS (SELECT term, row_number() OVER (ORDER BY cnt DESC, term) AS rk FROM voc),
 runs AS (SELECT * FROM (VALUES {', '.join(f'({n})' for n in SWEEP)}) r(run)),

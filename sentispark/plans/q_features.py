@@ -17,17 +17,17 @@ from sentispark.operators.split import split_sql, train_val_test_split
 from sentispark.plans import sqltext as S
 from sentispark.plans.catalog import register
 from sentispark.session import cut_lineage
-from sentispark.sources.tables import raw_corpus, table, text_table
+from sentispark.sources.tables import all_corpus, raw_corpus, table, text_table
 
 SEED = 2000
 
 
 def split_corpus(spark, sf, seed: int = SEED):
     """Cleaned corpus with its split.  The cleaned texts are written once to
-    the checkpoint folder (the split reads them three times), and so is the
-    split result, which every feature query reads more than once."""
-    d = C.clean_corpus(raw_corpus(spark, sf)).withColumn("label", normalize_label("target"))
-    return cut_lineage(train_val_test_split(cut_lineage(d), "row_id", seed, 0.02))
+    the checkpoint folder; the split is a function of the key and two cut points, so
+    it is not written."""
+    d = cut_lineage(C.clean_corpus(raw_corpus(spark, sf)).withColumn("label", normalize_label("target")))
+    return train_val_test_split(d, "row_id", seed, 0.02)
 
 
 SPLIT_CTE = ("sp AS MATERIALIZED (" + split_sql(f"(SELECT row_id, text, target, {S.label01()} AS label FROM clean_nn)",
@@ -68,15 +68,17 @@ def q_class_share(spark, sf):
 
 
 # ---- T17 / M2 / M3 / M4 ---------------------------------------------------------------
-@register("ngram_counts", S.BASE.rstrip("\n") + ",\n" + grams_sql("clean_nn", 3, "row_id") + """
+@register("ngram_counts", S.ALL_BASE.rstrip("\n") + ",\n" + grams_sql("clean_nn", 3, "row_id") + """
 SELECT term, n, CAST(count(*) AS BIGINT) AS cnt FROM grams GROUP BY term, n""", ops=("T17",))
 def q_ngram_counts(spark, sf):
-    d = C.clean_corpus(raw_corpus(spark, sf))
-    out = []
-    for n in (1, 2, 3):
-        g = d.select(F.explode(T.ngrams(F.split("text", " "), n, n)).alias("term")).withColumn("n", F.lit(n))
-        out.append(g)
-    occ = out[0].unionByName(out[1]).unionByName(out[2])
+    d = C.clean_corpus(all_corpus(spark, sf))
+    toks = d.select(F.split("text", " ").alias("toks"))
+
+    def sized_grams(n):
+        return F.transform(T.ngrams(F.col("toks"), n, n), lambda t: F.struct(t.alias("term"), F.lit(n).alias("n")))
+
+    sized = F.concat(*[sized_grams(n) for n in (1, 2, 3)])
+    occ = toks.select(F.inline(sized))
     return occ.groupBy("term", "n").agg(F.count(F.lit(1)).alias("cnt"))
 
 
@@ -98,10 +100,10 @@ def _fit_features(spark, sf, ngram_max: int, max_features: int, stop_words=None)
           "occ AS (SELECT row_id, split, unnest(string_split(text, ' ')) AS term FROM sp),\n"
           + _vocab_sql(10000) + """
 SELECT row_id, term, CAST(idx AS INTEGER) AS "index", CAST(count(*) AS BIGINT) AS tf
-FROM occ JOIN voc USING (term) WHERE split <> 'train' GROUP BY row_id, term, idx""", ops=("M2",))
+FROM occ JOIN voc USING (term) GROUP BY row_id, term, idx""", ops=("M2",))
 def q_count_vectorize(spark, sf):
     sp, dtc, vocab = _fit_features(spark, sf, 1, 10000)
-    return FE.vectorize_counts(dtc.where(F.col("split") != "train"), vocab, 10000)
+    return FE.vectorize_counts(dtc, vocab, 10000)
 
 
 _STOPS = ", ".join(S.q(w) for w in ENGLISH_STOP_WORDS)
@@ -111,38 +113,39 @@ _STOPS = ", ".join(S.q(w) for w in ENGLISH_STOP_WORDS)
           f"occ AS (SELECT row_id, split, term FROM (SELECT row_id, split, unnest(string_split(text, ' ')) AS term "
           f"FROM sp) WHERE term NOT IN ({_STOPS})),\n" + _vocab_sql(10000) + """
 SELECT row_id, term, CAST(idx AS INTEGER) AS "index", CAST(count(*) AS BIGINT) AS tf
-FROM occ JOIN voc USING (term) WHERE split <> 'train' GROUP BY row_id, term, idx""", ops=("M2", "T16"))
+FROM occ JOIN voc USING (term) GROUP BY row_id, term, idx""", ops=("M2", "T16"))
 def q_count_vectorize_stop(spark, sf):
     sp, dtc, vocab = _fit_features(spark, sf, 1, 10000, ENGLISH_STOP_WORDS)
-    return FE.vectorize_counts(dtc.where(F.col("split") != "train"), vocab, 10000)
+    return FE.vectorize_counts(dtc, vocab, 10000)
 
 
 TFIDF_SQL = (WITH_SPLIT.rstrip("\n") + ",\n" + grams_sql("sp", 3) + ",\n"
              "occ AS (SELECT row_id, split, term FROM grams),\n" + _vocab_sql(100000) + ",\n"
              "nd AS (SELECT count(*) AS n FROM sp WHERE split = 'train'),\n"
              "tfq AS (SELECT row_id, term, count(*) AS tf FROM occ JOIN voc USING (term) "
-             "WHERE split <> 'train' GROUP BY row_id, term),\n"
+             "GROUP BY row_id, term),\n"
              "w AS (SELECT row_id, term, tf * (ln((1 + n) / (1 + df)) + 1) AS x FROM tfq JOIN voc USING (term), nd)\n")
 
 
-def tfidf_heldout(spark, sf, normalize=True):
+def tfidf_all(spark, sf, normalize=True):
+    """TF-IDF of every document; vocabulary and weights are fitted on the training split."""
     sp, dtc, vocab = _fit_features(spark, sf, 3, 100000)
     n_docs = sp.where(F.col("split") == "train").agg(F.count(F.lit(1)).alias("n"))
-    counts = FE.vectorize_counts(dtc.where(F.col("split") != "train"), vocab, 100000)
+    counts = FE.vectorize_counts(dtc, vocab, 100000)
     return FE.tfidf(counts, vocab, n_docs, 100000, normalize=normalize)
 
 
 @register("tfidf", TFIDF_SQL + "SELECT row_id, term, x / sqrt(sum(x * x) OVER (PARTITION BY row_id)) AS tfidf FROM w",
           ops=("M3", "T17"))
 def q_tfidf(spark, sf):
-    return tfidf_heldout(spark, sf).select("row_id", "term", "tfidf")
+    return tfidf_all(spark, sf).select("row_id", "term", "tfidf")
 
 
 @register("l2_normalize", TFIDF_SQL + """
 SELECT row_id, sqrt(sum(v * v)) AS norm, CAST(count(*) AS BIGINT) AS n_terms FROM (
   SELECT row_id, x / sqrt(sum(x * x) OVER (PARTITION BY row_id)) AS v FROM w) GROUP BY row_id""", ops=("M4",))
 def q_l2_normalize(spark, sf):
-    w = tfidf_heldout(spark, sf, normalize=False)
+    w = tfidf_all(spark, sf, normalize=False)
     v = FE.l2_normalize(w, "tfidf")
     return v.groupBy("row_id").agg(F.sqrt(F.sum(F.col("tfidf") ** 2)).alias("norm"),
                                    F.count(F.lit(1)).alias("n_terms"))
@@ -266,15 +269,22 @@ def q_attach_by_index(spark, sf):
     return cleaned.join(raw.select("row_id", "target"), "row_id", "left")
 
 
-_CONV_CLEAN = S.staged("cc", "conversations", "conv_id, turn", "text", S.clean_steps())
+# every seventh turn is a mention, which cleans to nothing: the check has rows to find
+_CONV = ("conv AS (SELECT conv_id, turn, role, CASE WHEN (conv_id + turn) % 7 = 0 THEN '@someone' ELSE text END AS text "
+         "FROM conversations)")
+_CONV_CLEAN = [_CONV, *S.staged("cc", "conv", "conv_id, turn", "text", S.clean_steps())]
+
+
+def with_mentions(conv):
+    return conv.withColumn("text", F.when((F.col("conv_id") + F.col("turn")) % 7 == 0, "@someone").otherwise(F.col("text")))
 
 
 @register("originals_of_nulls", S.with_(*_CONV_CLEAN) + """
-SELECT c.conv_id, c.turn, c.role, c.text FROM conversations c
+SELECT c.conv_id, c.turn, c.role, c.text FROM conv c
 WHERE EXISTS (SELECT 1 FROM cc WHERE cc.conv_id = c.conv_id AND cc.turn = c.turn AND NOT """ + S.not_empty("cc.t") + ")",
           ops=("J2",))
 def q_originals_of_nulls(spark, sf):
-    conv = text_table(spark, sf, "conversations")
+    conv = with_mentions(text_table(spark, sf, "conversations"))
     empty = conv.select("conv_id", "turn",
                         C.keep_where(T.clean_text("text"), lambda t: T.is_empty_text(t)).alias("t"))
     return conv.join(empty, ["conv_id", "turn"], "left_semi").select("conv_id", "turn", "role", "text")

@@ -23,7 +23,8 @@ from sentispark.plans.q_features import WITH_SPLIT, split_corpus
 from sentispark.plans.q_phrases import _WV, word_vectors
 
 
-ITERS = 30  # optimiser iterations in the registered forms (library default: 100)
+ITERS = 100  # optimiser iterations of the study's library
+GRAMS, FEATURES = 3, 100_000  # the study's text features
 
 
 def ml_frame(spark, sf, ngram: int = 1, max_features: int = 10000, kind: str = "tfidf", vocab_terms=None):
@@ -81,28 +82,28 @@ def q_logit_unregularised(spark, sf):
     vec = (adv.groupBy("row_id").agg(F.array_sort(F.collect_list(F.struct("dim", "value"))).alias("p"))
            .select("row_id", array_to_vector(F.transform("p", lambda s: s["value"])).alias("features")))
     data = vec.join(sp.select("row_id", "split", F.col("label").cast("double").alias("label")), "row_id")
-    model = L.logit_unregularised(maxIter=50).fit(data.where(F.col("split") == "train"))
+    model = L.logit_unregularised(maxIter=ITERS).fit(data.where(F.col("split") == "train"))
     out = model.transform(data).withColumn("prob", vector_to_array("probability")[1])
     return E.error_rate(heldout(out), "label", "prob")
 
 
 @register("linear_svc", ops=("M9",))
 def q_linear_svc(spark, sf):
-    feats, _ = ml_frame(spark, sf)
+    feats, _ = ml_frame(spark, sf, GRAMS, FEATURES)
     tr, n = _train(feats)
     return _preds(L.linear_svc(n, maxIter=ITERS).fit(tr).transform(feats))
 
 
 @register("l1_select_then_svc", ops=("M10",))
 def q_l1_select_then_svc(spark, sf):
-    feats, _ = ml_frame(spark, sf)
+    feats, _ = ml_frame(spark, sf, GRAMS, FEATURES)
     tr, n = _train(feats)
     return _preds(L.l1_select_then_svc(tr, n, max_iter=ITERS).transform(feats))
 
 
 @register("ridge_classifier", ops=("M13",))
 def q_ridge_classifier(spark, sf):
-    feats, _ = ml_frame(spark, sf)
+    feats, _ = ml_frame(spark, sf, GRAMS, FEATURES)
     tr, _n = _train(feats)
     return _preds(L.ridge_classifier(tr).transform(feats))
 
@@ -111,7 +112,7 @@ def q_ridge_classifier(spark, sf):
 def q_adaboost_stumps(spark, sf):
     feats, _ = ml_frame(spark, sf, kind="count")
     tr, _n = _train(feats)
-    return _preds(L.adaboost_stumps(tr, rounds=10).transform(feats))
+    return _preds(L.adaboost_stumps(tr).transform(feats))
 
 
 def _chi2_terms(spark, sf, k: int):
@@ -125,31 +126,31 @@ def _chi2_terms(spark, sf, k: int):
 
 @register("mlp_classify", ops=("M18", "C1"))
 def q_mlp_classify(spark, sf):
-    terms = _chi2_terms(spark, sf, 500)
+    terms = _chi2_terms(spark, sf, 10_000)
     feats, _ = ml_frame(spark, sf, vocab_terms=terms)
     tr, _n = _train(feats)
-    return _preds(L.mlp_classifier(len(terms), 64, max_iter=50).fit(tr).transform(feats))
+    return _preds(L.mlp_classifier(len(terms), 64, max_iter=ITERS).fit(tr).transform(feats))
 
 
 @register("pca_project", ops=("C3",))
 def q_pca_project(spark, sf):
-    terms = _chi2_terms(spark, sf, 500)
+    terms = _chi2_terms(spark, sf, 2000)  # the covariance is terms x terms on the driver
     feats, _ = ml_frame(spark, sf, vocab_terms=terms)
-    out = L.pca_project(feats, 3).withColumn("pc", vector_to_array("pca"))
-    return out.select("row_id", *[F.col("pc")[i].alias(f"pc{i}") for i in range(3)])
+    out = L.pca_project(feats, 10).withColumn("pc", vector_to_array("pca"))
+    return out.select("row_id", *[F.col("pc")[i].alias(f"pc{i}") for i in range(10)])
 
 
 # ---- M15 / M16 (iterative parameter mixing) ------------------------------------------------------------------
 def _online(spark, sf, rule: str):
     sp = split_corpus(spark, sf)
-    dtc = FE.doc_term_table(FE.doc_grams(sp, 1, None, extra=("split",)), extra=("split",))
-    vocab = FE.fit_vocabulary_counts(dtc.where(F.col("split") == "train"), 10000)
-    counts = FE.vectorize_counts(dtc, vocab, 10000)
+    dtc = FE.doc_term_table(FE.doc_grams(sp, GRAMS, None, extra=("split",)), extra=("split",))
+    vocab = FE.fit_vocabulary_counts(dtc.where(F.col("split") == "train"), FEATURES)
+    counts = FE.vectorize_counts(dtc, vocab, FEATURES)
     n_docs = sp.where(F.col("split") == "train").agg(F.count(F.lit(1)).alias("n"))
-    vals = FE.tfidf(counts, vocab, n_docs, 10000).withColumnRenamed("tfidf", "value")
+    vals = FE.tfidf(counts, vocab, n_docs, FEATURES).withColumnRenamed("tfidf", "value")
     labels = sp.select("row_id", "label", "split")
     rows = ON.sparse_rows(vals, labels).join(labels.select("row_id", "split"), "row_id")
-    w = ON.fit_online(rows.where(F.col("split") == "train").drop("split"), 10000, rule, epochs=5)
+    w = ON.fit_online(rows.where(F.col("split") == "train").drop("split"), FEATURES, rule, epochs=5)
     return ON.predict_online(rows, w).select("row_id", "split", "label", "score", "prediction")
 
 

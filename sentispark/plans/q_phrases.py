@@ -11,7 +11,8 @@ from sentispark.operators import sequences as SQ
 from sentispark.operators import similarity as SIM
 from sentispark.plans.catalog import register
 from sentispark.plans.q_features import WITH_SPLIT, split_corpus
-from sentispark.sources.tables import table
+from sentispark.plans import sqltext as S
+from sentispark.sources.tables import all_corpus, table
 
 
 # ---- W1 / W2 / W3 ---------------------------------------------------------------------------
@@ -143,10 +144,10 @@ def q_subsample(spark, sf):
     return SIM.subsample(split_corpus(spark, sf).select("row_id"), "row_id", 0.2, 3)
 
 
-@register("vocab_min_count", _TOK + "SELECT term, CAST(count(*) AS BIGINT) AS cnt FROM tokens GROUP BY term "
+@register("vocab_min_count", S.ALL_TOKENS + "SELECT term, CAST(count(*) AS BIGINT) AS cnt FROM tokens GROUP BY term "
           "HAVING count(*) >= 2", ops=("E11",))
 def q_vocab_min_count(spark, sf):
-    return SIM.vocab_min_count(C.explode_tokens(split_corpus(spark, sf), keep=()), 2)
+    return SIM.vocab_min_count(C.explode_tokens(C.clean_corpus(all_corpus(spark, sf)), keep=()), 2)
 
 
 # ---- E13 / J4 / J5 ----------------------------------------------------------------------------------------------

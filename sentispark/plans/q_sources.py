@@ -20,7 +20,7 @@ def numbered_lines(spark, sf):
     """``_*{idx} {normalised text}``, idx = 0-based position by doc_id.
     Line breaks inside a document become spaces (one document per line)."""
     docs = text_table(spark, sf, "documents").select("doc_id", "text")
-    ranked = global_row_number(docs, [F.col("doc_id")], "rn")
+    ranked = docs.join(global_row_number(docs.select("doc_id"), [F.col("doc_id")], "rn"), "doc_id")
     body = T.normalize_review(T.replace_control(F.translate("text", "\r\n", "  ")))
     return ranked.select("doc_id", F.format_string("_*%d %s", F.col("rn") - 1, body).alias("line"))
 
@@ -134,7 +134,7 @@ def q_model_roundtrip(spark, sf):
     dtc = FE.doc_term_table(docs.select("row_id", "split", F.explode("grams").alias("term")), extra=("split",))
     terms = L.vocabulary_terms(FE.fit_vocabulary_counts(dtc.where(F.col("split") == "train"), 10000), 10000)
     tr = docs.where(F.col("split") == "train")
-    model = L.pipeline(terms, L.logistic_regression(tr.count(), maxIter=30)).fit(tr)
+    model = L.pipeline(terms, L.logistic_regression(tr.count(), maxIter=100)).fit(tr)
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/model-{uuid.uuid4().hex}"
     save_model(model, path)
     loaded = load_model(PipelineModel, path)

@@ -12,13 +12,22 @@ from sentispark.operators import terms as TM
 from sentispark.operators.filters import terms_from, text_length
 from sentispark.plans import sqltext as S
 from sentispark.plans.catalog import register
-from sentispark.sources.tables import raw_corpus
+from sentispark.sources.tables import all_corpus, raw_corpus
 
 
 def tokens(spark, sf):
     return C.explode_tokens(C.clean_corpus(raw_corpus(spark, sf)))
 
 
+def all_tokens(spark, sf):
+    return C.explode_tokens(C.clean_corpus(all_corpus(spark, sf)))
+
+
+def tf_all(spark, sf):
+    """Term totals over all documents."""
+    return TM.term_totals(all_tokens(spark, sf))
+
+
 def tf_full(spark, sf):
     return TM.term_freq_by_class(tokens(spark, sf))
 
@@ -39,6 +48,8 @@ TFL_SQL = ("tfs AS (SELECT term, CAST(count(*) FILTER (WHERE NOT (target > 0)) A
 WITH_TF = S.BASE_TOKENS.rstrip("\n") + ",\n" + TF_SQL + "\n"
 WITH_TFL = S.BASE_TOKENS.rstrip("\n") + ",\n" + TFL_SQL + "\n"
 
+ALL_TF = S.ALL_TOKENS.rstrip("\n") + ",\ntft AS (SELECT term, CAST(count(*) AS BIGINT) AS total FROM tokens GROUP BY term)\n"
+
 _COLS = ["pos_rate", "pos_freq_pct", "neg_rate", "neg_freq_pct"]
 SCORES_SQL = (
     "s1 AS (SELECT term, negative, positive, total, positive / total AS pos_rate, "
@@ -66,7 +77,7 @@ def q_class_counts(spark, sf):
 
 
 @register("length_box_stats", S.with_(
-    S.CORPUS, "l AS (SELECT CAST(length(text) AS DOUBLE) AS x FROM corpus)",
+    S.ALL_CORPUS, "l AS (SELECT CAST(length(text) AS DOUBLE) AS x FROM corpus)",
     "q AS (SELECT quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.5) AS median, "
     "quantile_cont(x, 0.75) AS q3 FROM l)") + """
 SELECT q1, median, q3, q3 - q1 AS iqr,
@@ -75,13 +86,13 @@ SELECT q1, median, q3, q3 - q1 AS iqr,
        (SELECT CAST(count(*) AS BIGINT) FROM l WHERE x < q1 - 1.5 * (q3 - q1) OR x > q3 + 1.5 * (q3 - q1)) AS n_outliers
 FROM q""", ops=("A2",))
 def q_length_box_stats(spark, sf):
-    return A.length_box_stats(text_length(raw_corpus(spark, sf)), "pre_clean_len")
+    return A.length_box_stats(text_length(all_corpus(spark, sf)), "pre_clean_len")
 
 
-@register("max_words", S.BASE + "SELECT CAST(max(len(string_split(text, ' '))) AS INTEGER) AS max_words, "
+@register("max_words", S.ALL_BASE + "SELECT CAST(max(len(string_split(text, ' '))) AS INTEGER) AS max_words, "
           "CAST(count(*) AS BIGINT) AS n_docs FROM clean_nn", ops=("A17",))
 def q_max_words(spark, sf):
-    return A.max_words(C.clean_corpus(raw_corpus(spark, sf)))
+    return A.max_words(C.clean_corpus(all_corpus(spark, sf)))
 
 
 @register("shape", S.BASE + "SELECT CAST(count(*) AS BIGINT) AS n_rows, 3 AS n_columns FROM clean_nn",
@@ -91,24 +102,24 @@ def q_shape(spark, sf):
 
 
 # ---- A3-A6 ---------------------------------------------------------------------
-@register("vocabulary", S.BASE_TOKENS + "SELECT DISTINCT term FROM tokens", ops=("A3",))
+@register("vocabulary", S.ALL_TOKENS + "SELECT DISTINCT term FROM tokens", ops=("A3",))
 def q_vocabulary(spark, sf):
-    return TM.vocabulary(tokens(spark, sf))
+    return TM.vocabulary(all_tokens(spark, sf))
 
 
 @register("vocabulary_size",
-          S.BASE_TOKENS + "SELECT CAST(count(DISTINCT term) AS BIGINT) AS n_terms, "
+          S.ALL_TOKENS + "SELECT CAST(count(DISTINCT term) AS BIGINT) AS n_terms, "
           "CAST(count(*) AS BIGINT) AS n_tokens FROM tokens", ops=("A3",))
 def q_vocabulary_size(spark, sf):
-    return tokens(spark, sf).agg(F.count_distinct("term").alias("n_terms"),
+    return all_tokens(spark, sf).agg(F.count_distinct("term").alias("n_terms"),
                                  F.count(F.lit(1)).alias("n_tokens"))
 
 
 @register("doc_term_counts",
-          S.BASE_TOKENS + "SELECT row_id, term, CAST(count(*) AS BIGINT) AS tf FROM tokens GROUP BY row_id, term",
+          S.ALL_TOKENS + "SELECT row_id, term, CAST(count(*) AS BIGINT) AS tf FROM tokens GROUP BY row_id, term",
           ops=("A4",))
 def q_doc_term_counts(spark, sf):
-    return TM.doc_term_counts(tokens(spark, sf))
+    return TM.doc_term_counts(all_tokens(spark, sf))
 
 
 @register("term_freq_by_class", WITH_TF + "SELECT term, negative, positive, total FROM tft", ops=("A5",))
@@ -155,28 +166,28 @@ def q_top_terms_by_class(spark, sf):
     return neg.unionByName(pos)
 
 
-@register("top_500", WITH_TF + "SELECT term, total FROM tft ORDER BY total DESC, term LIMIT 500", ops=("K3",))
+@register("top_500", ALL_TF + "SELECT term, total FROM tft ORDER BY total DESC, term LIMIT 500", ops=("K3",))
 def q_top_500(spark, sf):
-    return TM.top_k(tf_full(spark, sf), 500, "total").select("term", "total")
+    return TM.top_k(tf_all(spark, sf), 500, "total").select("term", "total")
 
 
-@register("zipf_expected", WITH_TF + """
+@register("zipf_expected", ALL_TF + """
 SELECT CAST(rank AS INTEGER) AS rank, term, total, first_value(total) OVER (ORDER BY rank) / power(CAST(rank AS DOUBLE), 1.0) AS expected
 FROM (SELECT term, total, row_number() OVER (ORDER BY total DESC, term) AS rank FROM tft) WHERE rank <= 500""",
           ops=("F7",))
 def q_zipf_expected(spark, sf):
-    return TM.zipf_expected(tf_full(spark, sf), 500)
+    return TM.zipf_expected(tf_all(spark, sf), 500)
 
 
-@register("rank_frequency", WITH_TF + """
+@register("rank_frequency", ALL_TF + """
 SELECT rank, term, total, log10(CAST(rank AS DOUBLE)) AS log_rank, log10(CAST(total AS DOUBLE)) AS log_freq
 FROM (SELECT term, total, row_number() OVER (ORDER BY total DESC, term) AS rank FROM tft)""",
           ops=("F8", "K4"))
 def q_rank_frequency(spark, sf):
-    return TM.rank_frequency(tf_full(spark, sf))
+    return TM.rank_frequency(tf_all(spark, sf))
 
 
-@register("log_spaced_terms", WITH_TF + """
+@register("log_spaced_terms", ALL_TF + """
 , ranked AS (SELECT term, total, row_number() OVER (ORDER BY total DESC, term) AS rank FROM tft),
 n AS (SELECT count(*) AS n FROM tft),
 pts AS (SELECT CAST(i AS INTEGER) AS point,
@@ -185,7 +196,7 @@ pts AS (SELECT CAST(i AS INTEGER) AS point,
 SELECT point, CAST(zero_rank AS BIGINT) AS zero_rank, term, total FROM pts JOIN ranked ON ranked.rank = pts.zero_rank + 1""",
           ops=("F9",))
 def q_log_spaced_terms(spark, sf):
-    return TM.log_spaced_terms(tf_full(spark, sf)).withColumn("zero_rank", F.col("zero_rank").cast("bigint"))
+    return TM.log_spaced_terms(tf_all(spark, sf)).withColumn("zero_rank", F.col("zero_rank").cast("bigint"))
 
 
 # ---- F1-F6, A9, A10, F11 ---------------------------------------------------------

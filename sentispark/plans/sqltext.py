@@ -8,7 +8,7 @@ with the ``'g'`` flag and ``\\1`` back-references).
 from __future__ import annotations
 
 from sentispark.functions import text as T
-from sentispark.sources.tables import RAW_CORPUS_SQL
+from sentispark.sources.tables import ALL_CORPUS_SQL, RAW_CORPUS_SQL
 
 
 def q(s: str) -> str:
@@ -144,3 +144,8 @@ def with_(*ctes: str) -> str:
 
 BASE = with_(CORPUS, CLEAN, CLEAN_NN)
 BASE_TOKENS = with_(CORPUS, CLEAN, CLEAN_NN, TOKENS)
+
+# The same over all documents, labelled or not, for queries that read no label.
+ALL_CORPUS = f"corpus AS ({ALL_CORPUS_SQL})"
+ALL_BASE = with_(ALL_CORPUS, CLEAN, CLEAN_NN)
+ALL_TOKENS = with_(ALL_CORPUS, CLEAN, CLEAN_NN, TOKENS)

@@ -4,12 +4,13 @@ The engine never creates data on the driver: it only configures a session
 and, where a job needs to cut lineage (iterative learners), makes sure a
 checkpoint directory is set.  On a cluster that directory must come from the
 session (``spark.checkpoint.dir``); a private temporary folder is only used
-when Spark runs in local mode and nothing was configured (tests, laptops).
+when nothing was configured (tests, laptops).
 """
 
 from __future__ import annotations
 
 import tempfile
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -76,31 +77,20 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(key)
 
 
-def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Make sure reliable checkpoints have a home.
-
-    Uses ``spark.checkpoint.dir`` when the cluster names one.  Only in local
-    mode, with nothing configured, a fresh temporary folder is taken.
-    """
+    """Make sure reliable checkpoints have a home: ``spark.checkpoint.dir``, which
+    a cluster names.  Where nothing is set (tests, laptops) a fresh temporary
+    folder is taken, with a warning."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-        return configured
-    if not _is_local(spark):
-        raise RuntimeError(
-            "spark.checkpoint.dir is not set; iterative jobs need a shared "
-            "checkpoint folder on a cluster")
-    path = tempfile.mkdtemp(prefix="sentispark-ckpt-")
-    sc.setCheckpointDir(path)
-    return path
+    if not configured:
+        configured = tempfile.mkdtemp(prefix="sentispark-ckpt-")
+        warnings.warn(f"spark.checkpoint.dir is not set; using {configured}, which only this machine sees", stacklevel=2)
+    sc.setCheckpointDir(configured)
+    return sc.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:

@@ -22,22 +22,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Give CPU-heavy per-row work (regex cleaning of long texts) enough tasks.
-
-    A scan yields one task per file split; a small input in one row group is
-    one task, so one core would clean every text.  Only when the scan has
-    fewer splits than the session's default parallelism are its rows spread
-    round-robin; a large input (thousands of splits) is left untouched, so no
-    shuffle is added at scale.
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
-
-
 def text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table whose text column feeds the cleaning expressions."""
-    return spread(table(spark, sf_dir, name))
+    """A table whose text column feeds the cleaning expressions.  Its tasks are the
+    scan's splits (``spark.sql.files.maxPartitionBytes``)."""
+    return table(spark, sf_dir, name)
 
 
 def raw_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,13 +35,20 @@ def raw_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     parquet size is under ``spark.sql.autoBroadcastJoinThreshold``; beyond
     that it is a shuffle join on ``doc_id`` (AQE handles skew).
     """
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     return (docs.join(labels, "doc_id")
             .select(F.col("doc_id").alias("row_id"), "text",
                     (F.col("quality") * 4).cast("int").alias("target")))
 
 
+def all_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(row_id, text, target)`` of every document, labelled or not (``target`` null):
+    the binding of queries that read no label."""
+    return table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("row_id"), "text", F.lit(None).cast("int").alias("target"))
+
+
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages")
 
@@ -66,3 +61,4 @@ def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 RAW_CORPUS_SQL = (
     "SELECT d.doc_id AS row_id, d.text AS text, CAST(4 * l.quality AS INTEGER) AS target "
     "FROM documents d JOIN labels l ON d.doc_id = l.doc_id")
+ALL_CORPUS_SQL = "SELECT doc_id AS row_id, text, CAST(NULL AS INTEGER) AS target FROM documents"
