@@ -92,8 +92,11 @@ def train_markov(docs: DataFrame, key: str = "doc_id", text: str = "text",
         return docs.where(slot < F.lit(int(min(1.0, size / n) * (1 << 32)))).select(text_or_empty(text).alias("t"))
 
     t = F.col("t")
-    values = F.concat(*[F.filter(F.regexp_extract_all(t, F.lit(_SCAN[name]), F.lit(group)),
-                                 lambda v, least=least: F.length(v) >= least) for name, _, group, least in KINDS])
+
+    def matched(name: str, group: int, least: int) -> Column:
+        return F.filter(F.regexp_extract_all(t, F.lit(_SCAN[name]), F.lit(group)), lambda v: F.length(v) >= least)
+
+    values = F.concat(*[matched(name, group, least) for name, _, group, least in KINDS])
     some = t.rlike("|".join(_SCAN[name] for name, *_ in KINDS))
     random = sample(random_docs).where(some).select(F.explode(values).alias("w"), F.lit(1).alias("random"))
     bare = t
@@ -156,8 +159,10 @@ def secret_digests(scanned: DataFrame, key: str = "doc_id") -> DataFrame:
     def joined(spans: Column) -> Column:
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"], s["end"])), ",")
 
-    count = [F.size(F.filter("base", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{name}")
-             for i, (name, *_) in enumerate(KINDS)]
+    def number(kind: int) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    count = [number(i).alias(f"n_{name}") for i, (name, *_) in enumerate(KINDS)]
     return scanned.select(key, *count, F.sha2(F.encode(joined(F.col("base")), "UTF-8"), 256).alias("base_sha256"),
                           joined(F.array_sort(F.concat("base", "added"))).alias("spans"),
                           F.size("added").cast("long").alias("n_markov"))

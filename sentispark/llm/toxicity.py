@@ -86,9 +86,11 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(np.array(out, float), -30, 30)))
 
 
-def fit_machine(rows: list[np.ndarray], labels: np.ndarray, features: int = 4096, factors: int = 4,
-                epochs: int = 12, rate: float = 0.1, l2: float = 1e-4, seed: int = 7) -> Machine:
-    """Fit on ``rows`` (each the buckets of one text) by Adagrad."""
+def fit_machine(rows: list[np.ndarray], labels: np.ndarray, features: int = 256, factors: int = 4,
+                epochs: int = 12, rate: float = 0.1, l2: float = 1e-4, batch_rows: int = 64,
+                least_steps: int = 800, seed: int = 7) -> Machine:
+    """Fit on ``rows`` (each the buckets of one text) by Adagrad, in ``epochs`` passes or as many
+    as make ``least_steps`` steps."""
     n, pos = len(rows), int(labels.sum())
     prior = float(np.log((pos + 0.5) / (n - pos + 0.5)))
     if pos == 0 or pos == n:
@@ -109,8 +111,9 @@ def fit_machine(rows: list[np.ndarray], labels: np.ndarray, features: int = 4096
     rng = np.random.default_rng(seed)
     w0, w, v = prior, np.zeros(len(kept)), rng.normal(0, 0.01, (len(kept), factors))
     g0, gw, gv = 1e-8, np.full(len(w), 1e-8), np.full(v.shape, 1e-8)
-    for _ in range(epochs):
-        for batch in np.array_split(rng.permutation(n), max(1, n // 256)):
+    steps = max(1, n // batch_rows)
+    for _ in range(max(epochs, -(-least_steps // steps))):
+        for batch in np.array_split(rng.permutation(n), steps):
             idx = np.concatenate([own[b] for b in batch]) if len(batch) else np.zeros(0, np.int64)
             row = np.repeat(np.arange(len(batch)), [len(own[b]) for b in batch])
             s = np.zeros((len(batch), factors))
