@@ -30,7 +30,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,11 +40,13 @@ MAX_EDIT = 0.2
 LEAST_WORDS = 5
 ITEM_BLOCK = 50_000
 TABLE_BITS = 22
+#: Texts searched at once in a task.
+TEXTS = 2000
 _WORD = re.compile(r"\w+")
 
 
-def words(text: str) -> list[bytes]:
-    return [w.encode("utf-8", "surrogatepass") for w in _WORD.findall(text.lower())]
+def words(text: str) -> list[str]:
+    return _WORD.findall(text.lower())
 
 
 def repetitions(recall: float, agree: float, sample: int) -> int:
@@ -54,28 +55,40 @@ def repetitions(recall: float, agree: float, sample: int) -> int:
     return math.ceil(math.log(1 - recall) / math.log(1 - agree ** sample))
 
 
-def cgk(rows: np.ndarray, seed: int) -> np.ndarray:
-    """CGK embedding of each row (word hashes) into three times its length; 0 past the end."""
+def _walk(rows: np.ndarray, seeds: np.ndarray) -> Iterator[np.ndarray]:
+    """CGK walks of all rows (word hashes) under all seeds at once: for each of three times
+    as many places as words, the words copied there (seeds x rows; 0 past the end)."""
     m, n = rows.shape
-    padded = np.concatenate([rows, np.zeros((m, 1), np.uint64)], 1)
-    out, at, r = np.empty((m, 3 * n), np.uint64), np.zeros(m, np.int64), np.arange(m)
-    with np.errstate(over="ignore"):
-        steps = mix(np.arange(1, 3 * n + 1, dtype=np.uint64) + (np.uint64(seed + 1) << np.uint64(32)))
-        for j in range(3 * n):
-            word = padded[r, at]
-            out[:, j] = word
-            at += ((mix(word ^ steps[j]) & np.uint64(1)).astype(np.int64)) & (at < n)
-    return out
+    padded = np.concatenate([rows, np.zeros((m, 1), np.uint64)], 1).ravel()
+    row, at = np.arange(m) * (n + 1), np.zeros((len(seeds), m), np.int64)
+    for j in range(3 * n):
+        word = padded[row + at]
+        yield word
+        # the shared random bit of a word at this place: the top bit of a multiply-shift hash
+        with np.errstate(over="ignore"):
+            a = mix(seeds * np.uint64(2 * n + 1) + np.uint64(2 * j + 1))[:, None]
+            bit = (word ^ a) * (mix(a) | np.uint64(1)) >> np.uint64(63)
+        at = np.minimum(at + bit.view(np.int64), n)
+
+
+def cgk(rows: np.ndarray, seed: int) -> np.ndarray:
+    """CGK embedding of each row into three times its length."""
+    return np.stack([w[0] for w in _walk(rows, np.array([seed + 1], np.uint64))], 1)
 
 
-def sampled(rows: np.ndarray, rep: int, sample: int) -> np.ndarray:
-    """LSH key of each row in a repetition: hash of the sampled places."""
+def lsh_keys(rows: np.ndarray, reps: int, sample: int) -> np.ndarray:
+    """LSH keys (repetitions x rows): hashes of the places that a repetition samples of its walk."""
     n = rows.shape[1]
-    places = np.random.default_rng([n, rep]).choice(3 * n, sample, replace=False)
-    key = np.full(len(rows), rep, np.uint64)
+    sampled: list[list[int]] = [[] for _ in range(3 * n)]
+    for rep in range(reps):
+        for j in np.random.default_rng([n, rep]).choice(3 * n, sample, replace=False):
+            sampled[j].append(rep)
+    seeds = np.arange(1, reps + 1, dtype=np.uint64)
+    key = np.repeat(seeds[:, None], len(rows), 1)
     with np.errstate(over="ignore"):
-        for column in cgk(rows, rep)[:, np.sort(places)].T:
-            key = mix(key ^ column) * np.uint64(3)
+        for own, word in zip(sampled, _walk(rows, seeds)):
+            if own:
+                key[own] = mix(key[own] ^ word[own]) * np.uint64(3)
     return key
 
 
@@ -131,11 +144,10 @@ class Items:
         """For each repetition: LSH key -> items of length n."""
         if n not in self._keys:
             own = [i for i, w in enumerate(self.words) if len(w) == n]
-            rows = np.stack([self.words[i] for i in own])
             got = []
-            for rep in range(self.reps):
+            for keys in lsh_keys(np.stack([self.words[i] for i in own]), self.reps, self.sample).tolist():
                 at: dict[int, list[int]] = {}
-                for i, k in zip(own, sampled(rows, rep, self.sample).tolist()):
+                for i, k in zip(own, keys):
                     at.setdefault(k, []).append(i)
                 got.append(at)
             self._keys[n] = got
@@ -174,22 +186,23 @@ class Items:
         gap, parts, starts, at = np.zeros(self.pad + 1, np.uint64), [], [], 0
         for t in texts:  # texts apart by more unmatched words than any window may reach over
             w = words(t)
-            parts += [np.fromiter((cache[x] for x in w), np.uint64, len(w)), gap]
+            parts += [np.fromiter(map(cache.__getitem__, w), np.uint64, len(w)), gap]
             starts.append(at + self.pad + 1)
             at += len(w) + self.pad + 1
         flat = np.concatenate([gap, *parts])
         bounds = np.array([*starts, len(flat)])
         hits: dict[tuple[int, int], set[int]] = {}
         for n, s in self.windows(flat).items():
-            for lo in range(0, len(s), 20_000):
-                own = s[lo:lo + 20_000]
-                rows = flat[own[:, None] + np.arange(n)]
-                for rep, table in enumerate(self.keys(n)):
-                    for w, k in enumerate(sampled(rows, rep, self.sample).tolist()):
-                        for item in table.get(k, ()):
-                            # the text that the window's middle lies in
-                            doc = int(np.searchsorted(bounds, own[w] + n // 2, "right")) - 1
-                            hits.setdefault((max(doc, 0), item), set()).add(int(own[w]))
+            for lo in range(0, len(s), 4000):
+                own = s[lo:lo + 4000]
+                # the text that a window's middle lies in
+                docs = np.maximum(np.searchsorted(bounds, own + n // 2, "right") - 1, 0).tolist()
+                keys = lsh_keys(flat[own[:, None] + np.arange(n)], self.reps, self.sample)
+                for table, row in zip(self.keys(n), keys):
+                    at = np.flatnonzero(np.isin(row, np.fromiter(table, np.uint64, len(table))))
+                    for w, k in zip(at.tolist(), row[at].tolist()):
+                        for item in table[k]:
+                            hits.setdefault((docs[w], item), set()).add(int(own[w]))
         out = []
         for (doc, item), where in sorted(hits.items()):
             target = self.words[item]
@@ -201,7 +214,8 @@ class Items:
                 while j + 1 < len(where) and where[j + 1] - where[j] <= n:
                     j += 1
                 a, b = max(lo_doc, where[i] - k), min(hi_doc, where[j] + n + k)
-                if b > a:
+                # k edits leave n - k of the item's words
+                if b > a and np.isin(target, flat[a:b]).sum() >= n - k:
                     distance, start, end = edit_end(target, flat[a:b])
                     if distance <= k:
                         out.append((doc, self.ids[item], a + start - lo_doc, a + end - lo_doc, distance))
@@ -226,8 +240,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, **search: float) -> DataFrame:
         def run(batches: Iterator[pd.DataFrame], block=block) -> Iterator[pd.DataFrame]:
             index, cache = Items(block, **search), WordHashes()
             for b in batches:
-                for lo in range(0, len(b), 500):
-                    part = b.iloc[lo:lo + 500]
+                for lo in range(0, len(b), TEXTS):
+                    part = b.iloc[lo:lo + TEXTS]
                     ids = part["doc_id"].tolist()
                     rows = [(None if pd.isna(ids[d]) else int(ids[d]), *rest) for d, *rest in index.search(part["text"].tolist(), cache)]
                     yield pd.DataFrame(rows, columns=["doc_id", "item_id", "start", "stop", "distance"]).astype({"doc_id": "Int64", "item_id": "Int64"})
@@ -244,8 +258,8 @@ def _holds(block: list[tuple[int, str]], search: dict):
         index, cache = Items(block, **search), WordHashes()
         for texts in batches:
             hit = np.zeros(len(texts), bool)
-            for lo in range(0, len(texts), 500):
-                for d, *_ in index.search(texts.iloc[lo:lo + 500].tolist(), cache):
+            for lo in range(0, len(texts), TEXTS):
+                for d, *_ in index.search(texts.iloc[lo:lo + TEXTS].tolist(), cache):
                     hit[lo + d] = True
             yield pd.Series(hit)
 

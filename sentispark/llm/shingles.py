@@ -11,7 +11,7 @@ _P = np.uint64(0x9E3779B97F4A7C15)
 class WordHashes(dict):
     """Word -> 64-bit hash, kept for the task (bounded)."""
 
-    def __missing__(self, word: bytes) -> int:
+    def __missing__(self, word: bytes | str) -> int:
         if len(self) >= 1_000_000:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)

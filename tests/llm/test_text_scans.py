@@ -146,7 +146,7 @@ def test_exact_leaks_in_the_tables(spark):
 
 def test_walks_of_equal_words_agree():
     cache = WordHashes()
-    row = np.array([[cache[f"{i}".encode()] for i in range(12)]], np.uint64)
+    row = np.array([[cache[f"{i}"] for i in range(12)]], np.uint64)
     out = D.cgk(np.concatenate([row, row]), 3)
     assert (out[0] == out[1]).all() and out.shape == (2, 36)
     assert D.repetitions(0.99, 0.5, 3) == 35
@@ -160,7 +160,7 @@ def test_word_pair_filter_loses_no_window():
     cache = WordHashes()
     for _ in range(50):
         text = [rnd.choice(words) for _ in range(30)] + _edited(item, rnd.randrange(5), rnd) + [rnd.choice(words) for _ in range(30)]
-        flat = np.array([cache[w.encode()] for w in text], np.uint64)
+        flat = np.array([cache[w] for w in text], np.uint64)
         starts = index.windows(flat).get(20, [])
         assert any(28 <= s <= 32 for s in starts)
 
