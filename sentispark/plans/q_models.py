@@ -1,8 +1,6 @@
 """Registered queries: learners on pyspark.ml, online learners, embedding jobs.
 
 These have no SQL form (iterative optimisers); the driver checks their rows.
-Registered forms use small dimensions / epochs so they stay quick at the
-check scale; the operator defaults are the study's parameters.
 """
 
 from __future__ import annotations
@@ -11,6 +9,7 @@ from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from sentispark.operators import corpus as C
 from sentispark.operators import embed as EM
 from sentispark.operators import evaluate as E
 from sentispark.operators import features as FE
@@ -21,6 +20,8 @@ from sentispark.plans.catalog import register
 from sentispark.plans.q_evaluate import heldout
 from sentispark.plans.q_features import WITH_SPLIT, split_corpus
 from sentispark.plans.q_phrases import _WV, word_vectors
+from sentispark.session import cut_lineage
+from sentispark.sources.tables import all_corpus
 
 
 ITERS = 100  # optimiser iterations of the study's library
@@ -74,17 +75,35 @@ def q_count_logreg_fit(spark, sf):
     return _preds(model.transform(docs))
 
 
+def _pv_errors(spark, sf, wanted):
+    """Error rate of logistic regression without penalty on the held-out documents, one row per
+    named list of paragraph-vector modes (their vectors concatenated)."""
+    from pyspark.ml.functions import array_to_vector
+    labels = cut_lineage(split_corpus(spark, sf).select("row_id", "split", F.col("label").cast("double").alias("label")))
+    modes = {m for parts in wanted.values() for m in parts}
+    vecs = {m: _embed(spark, sf, m)[0].select(F.col("key").alias("row_id"), F.col("vec").alias(m)) for m in sorted(modes)}
+    out = None
+    for name, parts in wanted.items():
+        data = labels
+        for m in parts:
+            data = data.join(vecs[m], "row_id")
+        data = data.withColumn("features", array_to_vector(F.concat(*parts)))
+        model = L.logit_unregularised(maxIter=ITERS).fit(data.where(F.col("split") == "train"))
+        scored = heldout(model.transform(data).withColumn("prob", vector_to_array("probability")[1]))
+        row = E.error_rate(scored, "label", "prob").withColumn("name", F.lit(name))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 @register("logit_unregularised", ops=("M8", "A15"))
 def q_logit_unregularised(spark, sf):
-    from pyspark.ml.functions import array_to_vector
-    sp, toks, wv = word_vectors(spark, sf)
-    adv = SIM.avg_doc_vectors(toks, wv, 64)
-    vec = (adv.groupBy("row_id").agg(F.array_sort(F.collect_list(F.struct("dim", "value"))).alias("p"))
-           .select("row_id", array_to_vector(F.transform("p", lambda s: s["value"])).alias("features")))
-    data = vec.join(sp.select("row_id", "split", F.col("label").cast("double").alias("label")), "row_id")
-    model = L.logit_unregularised(maxIter=ITERS).fit(data.where(F.col("split") == "train"))
-    out = model.transform(data).withColumn("prob", vector_to_array("probability")[1])
-    return E.error_rate(heldout(out), "label", "prob")
+    return _pv_errors(spark, sf, {"dbow": ["dbow"]})
+
+
+@register("pv_error_table", ops=("M8", "A15", "E1", "E2", "E3", "E4"))
+def q_pv_error_table(spark, sf):
+    return _pv_errors(spark, sf, {"dbow": ["dbow"], "dmm": ["dmm"], "dmc": ["dmc"], "dbow+dmm": ["dbow", "dmm"],
+                                  "dbow+dmc": ["dbow", "dmc"]})
 
 
 @register("linear_svc", ops=("M9",))
@@ -202,7 +221,12 @@ def q_train_test_evaluate(spark, sf):
     tr, n = _train(feats)
     pred = heldout(L.logistic_regression(n, maxIter=ITERS).fit(tr).transform(feats)).withColumn(
         "pred", F.col("prediction").cast("int"))
-    return E.classification_report(pred, "label", "pred")
+    report = E.classification_report(pred, "label", "pred")
+    rows = pred.agg(F.avg((F.col("pred") == F.col("label")).cast("double")).alias("accuracy"),
+                    F.greatest(F.avg("label"), 1 - F.avg("label")).alias("null_accuracy"),
+                    *[F.count_if((F.col("label") == a) & (F.col("pred") == b)).alias(f"true_{a}_predicted_{b}")
+                      for a in (0, 1) for b in (0, 1)])
+    return report.crossJoin(F.broadcast(rows))
 
 
 # ---- M5 (SQL-checkable) ---------------------------------------------------------------------------------------
@@ -221,102 +245,90 @@ def q_minmax_scale(spark, sf):
 
 
 # ---- E1-E8, E14 ------------------------------------------------------------------------------------------------
-def _corpus_tokens(spark, sf):
-    sp = split_corpus(spark, sf)
-    return sp, sp.select("row_id", "split", F.split("text", " ").alias("tokens"))
+WINDOW = {"dbow": 2, "dmm": 4, "dmc": 2, "cbow": 2}  # the study's windows
+
+
+def _all_tokens(spark, sf):
+    """Cleaned tokens of every document: vectors are trained on unlabelled ones too."""
+    return C.clean_corpus(all_corpus(spark, sf)).select("row_id", F.split("text", " ").alias("tokens"))
 
 
-def _embed(spark, sf, mode: str, dim: int = 16, epochs: int = 3, window: int = 2):
-    sp, docs = _corpus_tokens(spark, sf)
-    toks = docs.select(F.explode("tokens").alias("term"))
-    vocab = EM.build_vocab(toks, 2)
-    counts = vocab.orderBy("id").select("cnt").toPandas()["cnt"].to_numpy()  # vocabulary-sized
-    enc = EM.encode(docs, vocab)
-    p = EM.EmbedParams(mode=mode, dim=dim, epochs=epochs, window=window)
-    dv, w_in, w_out = EM.train(enc, len(counts), counts, p)
-    return sp, vocab, dv, w_in, w_out, counts, enc
+def _embed(spark, sf, mode: str, docs=None, words=None):
+    docs = _all_tokens(spark, sf) if docs is None else docs
+    return EM.train(docs, EM.EmbedParams(mode=mode, window=WINDOW[mode]), words)
 
 
 def _doc_out(dv):
-    return dv.select(F.col("key").alias("row_id"), F.size("vec").alias("dim"), SIM.norm(F.col("vec")).alias("norm"))
+    return dv.select(F.col("key").alias("row_id"), "vec")
 
 
 @register("pv_dbow", ops=("E1",))
 def q_pv_dbow(spark, sf):
-    return _doc_out(_embed(spark, sf, "dbow")[2])
+    return _doc_out(_embed(spark, sf, "dbow")[0])
 
 
 @register("pv_dmm", ops=("E2",))
 def q_pv_dmm(spark, sf):
-    return _doc_out(_embed(spark, sf, "dmm", window=4)[2])
+    return _doc_out(_embed(spark, sf, "dmm")[0])
 
 
 @register("pv_dmc", ops=("E3",))
 def q_pv_dmc(spark, sf):
-    return _doc_out(_embed(spark, sf, "dmc")[2])
+    return _doc_out(_embed(spark, sf, "dmc")[0])
 
 
 @register("pv_combined", ops=("E4", "J5"))
 def q_pv_combined(spark, sf):
-    a = _embed(spark, sf, "dbow")[2].withColumnRenamed("key", "row_id")
-    b = _embed(spark, sf, "dmm", window=4)[2].withColumnRenamed("key", "row_id")
-    cv = SIM.concat_vectors(a, b, "row_id")
-    return cv.select("row_id", F.size("vec").alias("dim"), SIM.norm(F.col("vec")).alias("norm"))
+    a, b = (_embed(spark, sf, m)[0].withColumnRenamed("key", "row_id") for m in ("dbow", "dmm"))
+    return SIM.concat_vectors(a, b, "row_id").select("row_id", "vec")
 
 
 @register("infer_vector", ops=("E5",))
 def q_infer_vector(spark, sf):
-    sp, vocab, dv, w_in, w_out, counts, enc = _embed(spark, sf, "dbow")
-    held = enc.join(heldout(sp).select(F.col("row_id").alias("key")), "key")
-    p = EM.EmbedParams(mode="dbow", dim=16, epochs=3, seed=9)
-    inferred, _, _ = EM.train(held, len(counts), counts, p, frozen=(w_in, w_out))
-    return _doc_out(inferred)
+    """Vectors of the held-out documents from word weights trained on the others."""
+    sp = split_corpus(spark, sf).select("row_id", "split", F.split("text", " ").alias("tokens"))
+    _, words = _embed(spark, sf, "dbow", sp.where(F.col("split") == "train"))
+    return _doc_out(_embed(spark, sf, "dbow", heldout(sp), words)[0])
 
 
-@register("word2vec_skipgram", ops=("E6",))
-def q_word2vec_skipgram(spark, sf):
+def _skipgram_vectors(spark, sf):
     from pyspark.ml.feature import Word2Vec
-    _, docs = _corpus_tokens(spark, sf)
-    model = Word2Vec(vectorSize=16, windowSize=2, minCount=2, maxIter=1, seed=1,
+    docs = _all_tokens(spark, sf)
+    tokens = docs.agg(F.sum(F.size("tokens"))).first()[0] or 0
+    parts = max(1, -(-int(tokens) // 1_000_000))  # a task trains about a million tokens
+    model = Word2Vec(vectorSize=100, windowSize=2, minCount=2, maxIter=20, numPartitions=parts, seed=1,
                      inputCol="tokens", outputCol="v").fit(docs)
-    return model.getVectors().select(F.col("word").alias("term"), F.size(vector_to_array("vector")).alias("dim"))
+    return model.getVectors().select(F.col("word").alias("term"), vector_to_array("vector").alias("vec"))
 
 
 def _cbow_vectors(spark, sf):
-    sp, vocab, dv, w_in, w_out, counts, enc = _embed(spark, sf, "cbow")
-    return EM.matrix_frame(spark, vocab, w_in[:-1])
+    return _embed(spark, sf, "cbow")[1].select("term", F.col("w_in").alias("vec"))
+
+
+@register("word2vec_skipgram", ops=("E6",))
+def q_word2vec_skipgram(spark, sf):
+    return _skipgram_vectors(spark, sf)
 
 
 @register("word2vec_cbow", ops=("E7",))
 def q_word2vec_cbow(spark, sf):
-    return _cbow_vectors(spark, sf).select("term", F.size("vec").alias("dim"))
+    return _cbow_vectors(spark, sf)
 
 
 @register("word_vectors_concat", ops=("E8", "J5"))
 def q_word_vectors_concat(spark, sf):
-    from pyspark.ml.feature import Word2Vec
-    _, docs = _corpus_tokens(spark, sf)
-    sg = (Word2Vec(vectorSize=16, windowSize=2, minCount=2, maxIter=1, seed=1, inputCol="tokens", outputCol="v")
-          .fit(docs).getVectors().select(F.col("word").alias("term"), vector_to_array("vector").alias("vec")))
-    cb = _cbow_vectors(spark, sf)
-    cv = SIM.concat_vectors(cb, sg, "term")
-    return cv.select("term", F.size("vec").alias("dim"))
+    return SIM.concat_vectors(_cbow_vectors(spark, sf), _skipgram_vectors(spark, sf), "term").select("term", "vec")
 
 
 @register("similarity_table", ops=("E14", "E9"))
 def q_similarity_table(spark, sf):
-    from pyspark.ml.feature import Word2Vec
-    _, docs = _corpus_tokens(spark, sf)
-    sg = (Word2Vec(vectorSize=16, windowSize=2, minCount=2, maxIter=1, seed=1, inputCol="tokens", outputCol="v")
-          .fit(docs).getVectors().select(F.col("word").alias("term"), vector_to_array("vector").alias("vec")))
-    cb = _cbow_vectors(spark, sf)
+    sg, cb = cut_lineage(_skipgram_vectors(spark, sf)), _cbow_vectors(spark, sf)
+    models = {"skipgram": sg, "cbow": cb, "both": SIM.concat_vectors(cb, sg, "term")}
     # the query word: a seeded pick among words both models know
-    common = sg.select("term").join(cb.select("term"), "term")
-    q = SIM.seeded_pick(common, "term", 5)
-    parts = []
-    for name, tab in (("skipgram", sg), ("cbow", cb)):
-        top = SIM.most_similar(tab, tab.join(q, "term"), "term", "vec", 10)
-        parts.append(top.select(F.lit(name).alias("model"), F.col("q_key").alias("word"),
-                                F.col("term").alias("similar"), "similarity"))
-    return parts[0].unionByName(parts[1])
-
+    q = cut_lineage(SIM.seeded_pick(sg.select("term").join(cb.select("term"), "term"), "term", 5))
+    out = None
+    for name, tab in models.items():
+        top = SIM.most_similar(tab, tab.join(q, "term"), "term", "vec", 20)
+        top = top.select(F.lit(name).alias("model"), F.col("q_key").alias("word"), F.col("term").alias("similar"), "similarity")
+        out = top if out is None else out.unionByName(top)
+    return out
