@@ -32,6 +32,23 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_digests(chat.format_chat(turns))
 
 
+_CONTROLS = chat.Template().controls
+OP3_SQL = """
+WITH t AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+f AS (SELECT *, lag(role, 1, 'start') OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS before,
+  length('<|im_start|>') + length(role) + 1 + length(text) + length('<|im_end|>') + 1
+  + length(text) - length(replace(text, chr(92), '')) + """ + " + ".join(
+    f"(length(text) - length(replace(text, '{c}', ''))) // {len(c)}" for c in _CONTROLS) + """ AS chars FROM t)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(chars) AS BIGINT) AS formatted_chars,
+  bool_and((before || '>' || role) IN ('start>system', 'start>user', 'system>user', 'user>assistant', 'assistant>user')) AS valid
+FROM f GROUP BY conv_id"""
+
+
 def op4_factorization_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -71,4 +88,4 @@ def op10_cgk_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_ring, op2_grace_dedup, op3_chat, op4_factorization_machine, op5_jaccard_tiles, op6_packing,
     op7_compact_windows, op8_markov_secrets, op9_warc_index, op10_cgk_decontamination)}
-ORACLES = {"op2_grace_dedup": OP2_SQL, "op9_warc_index": OP9_SQL}
+ORACLES = {"op2_grace_dedup": OP2_SQL, "op3_chat": OP3_SQL, "op9_warc_index": OP9_SQL}
