@@ -11,7 +11,8 @@ The result is exact; hashes of 64 bits stand for shingles.
    Prefixes are longer by ``SHARED - 1``, and then linked sets share ``SHARED`` shingles there (or their
    whole least overlap, if that is smaller), which one common phrase does not reach.
 3. *Stars.*  In each shingle's group, sorted by size, members pair with one leader
-   of their size band.  Pairs met under ``SHARED`` shingles are verified and give first components.  A group of copies costs as many
+   of their size band.  Pairs met under ``SHARED`` shingles are verified and give first components;
+   ``ROUNDS`` more rounds do the same round other leaders where a group still holds several.  A group of copies costs as many
    pairs as it has members.
 4. *Tiles.*  Only groups that still hold several components need more.  Up to ``SMALL`` members
    are paired at once.  The members of larger groups, sorted by size, are cut into
@@ -47,6 +48,8 @@ BITS = 2048
 BLOCK = 1024
 SMALL = 64
 SHARED = 3
+#: Rounds of stars round other leaders, before tiles.
+ROUNDS = 2
 #: Most frequent shingles that sort last, at most so many (8 bytes each travel to the tasks).
 FREQUENT = 1 << 17
 #: Doc ids (8 bytes) are broadcast up to here, joined by shuffle beyond.
@@ -329,6 +332,30 @@ def _signed_of(texts: DataFrame, ids: DataFrame, words: int, label: str = "signe
     return written(_signed(texts.join(ids, texts["doc_id"] == ids["rep"], "left_semi"), words), label)
 
 
+def _owned(groups: DataFrame, label: DataFrame) -> DataFrame:
+    """Postings with their set's component so far."""
+    return written(groups.select("h", "place", "rep").join(label, groups["rep"] == label["node"], "left").select(
+        "h", "place", "rep", F.coalesce("component", "rep").alias("comp")), "owned")
+
+
+def _other_stars(owned: DataFrame, number: int) -> DataFrame:
+    """Pairs ``a, b, least`` of each open group's members with another leader, the one whose hash
+    is least; a set that leads one group leads most others it is in."""
+    lead = (owned.groupBy("h").agg(F.min(F.struct(F.xxhash64("rep", F.lit(number)).alias("x"), "place", "rep", "comp")).alias("l"),
+                                   F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+            .where("lo < hi").select("h", F.col("l.place").alias("lp"), F.col("l.rep").alias("lr"), F.col("l.comp").alias("lc")))
+    size, lead_size = F.shiftright("place", 32), F.shiftright("lp", 32)
+    low = F.lit((1 << 32) - 1)
+    met = owned.join(lead, "h").where("comp <> lc").select(
+        "rep", "lr", size.alias("n"), lead_size.alias("m"), F.col("place").bitwiseAND(low).alias("p"),
+        F.col("lp").bitwiseAND(low).alias("q"), F.floor((3 * (size + lead_size) + 6) / 7).alias("need"))
+    near = met.where((4 * F.least("n", "m") >= 3 * F.greatest("n", "m"))
+                     & (F.col("p") <= F.col("n") - F.col("need") + SHARED - 1)
+                     & (F.col("q") <= F.col("m") - F.col("need") + SHARED - 1))
+    return near.select(F.least("rep", "lr").alias("a"), F.greatest("rep", "lr").alias("b"),
+                       F.least(F.lit(SHARED), "need").cast("long").alias("least"))
+
+
 def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("rep")).unionAll(pairs.select(F.col("b").alias("rep"))).distinct()
 
@@ -354,9 +381,14 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     first = written(verified(stars, _signed_of(texts, _ends(stars), words)), "links")
     label = components(first)
 
-    owned = groups.select("h", "place", "rep").join(label, groups["rep"] == label["node"], "left").select(
-        "h", "place", "rep", F.coalesce("component", "rep").alias("comp"))
-    owned = written(owned, "owned")
+    owned = _owned(groups, label)
+    for number in range(1, ROUNDS + 1):
+        stars = written(_enough(_other_stars(owned, number)), "stars")
+        if not stars.limit(1).count():
+            break
+        first = verified(stars, _signed_of(texts, _ends(stars), words))
+        label = components(label.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(first))
+        owned = _owned(groups, label)
     still = (owned.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("rows"))
              .where("lo < hi"))
     few = (owned.join(still.where(F.col("rows") <= small).select("h"), "h", "left_semi").select("h", "place", "rep", "comp")
