@@ -223,6 +223,29 @@ def test_passages_found_and_clean_left_alone(make_docs):
     assert passages.near_duplicate_passages(make_docs(docs).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("twice", [1, 2])
+def test_passage_twice_in_one_text(make_docs, twice):
+    rnd = random.Random(twice)
+
+    def words(n):
+        return [f"u{rnd.randrange(10 ** 9)}" for _ in range(n)]
+
+    docs, want = [], set()
+    for k, length in enumerate((52, 60, 90, 150)):
+        for gap in (0, 25, 120):
+            shared = words(length)
+            for d in (1, 2):
+                text, i = words(30), 1000 * (k + 1) + 10 * gap + d
+                for j in range(2 if d == twice else 1):
+                    want.add((i, len(text), length))
+                    text += shared + words(gap if j == 0 and d == twice else 30)
+                docs.append((i, " ".join(text)))
+    got = passages.near_duplicate_passages(make_docs(docs)).collect()
+    found = {(i, at) for i, at, length in want for r in got
+             if r.doc_id == i and at - 6 <= r.start and r.stop <= at + length + 6 and r.match_id == (i + 1 if i % 10 == 1 else i - 1)}
+    assert found == {(i, at) for i, at, _ in want}
+
+
 def test_warc_round_trip(spark):
     big, small = "<p>" + "é" * 600 + "</p>", "tiny"
     rows = [(1, "http://WWW.Example.org:80/a?b=1#c", big), (2, None, big), (3, "http://example.org/x y", big), (4, "u", small),
