@@ -289,3 +289,23 @@ def test_pipeline_stages_take_effect(spark):
     empty = docs.limit(0)
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SF001).count() == 0
+
+
+def test_variant_in_a_large_group(make_docs):
+    """Two texts share a variant of a passage that many texts hold and neither is similar to."""
+    rnd = random.Random(3)
+
+    def words(n):
+        return [f"u{rnd.randrange(10 ** 9)}" for _ in range(n)]
+
+    docs, want = [], set()
+    for k in range(12):
+        shared = words(60)
+        variant = list(shared)
+        variant[20], variant[40] = words(2)
+        ids = [1000 * (k + 1) + i for i in range(32)]
+        x, y = rnd.sample(ids[2:], 2)
+        want.add((min(x, y), max(x, y)))
+        docs += [(i, " ".join(words(30) + (variant if i in (x, y) else shared) + words(30))) for i in ids]
+    got = passages.near_duplicate_passages(make_docs(docs)).collect()
+    assert want <= {(r.doc_id, r.match_id) for r in got}
