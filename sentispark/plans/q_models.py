@@ -15,6 +15,7 @@ from sentispark.operators import evaluate as E
 from sentispark.operators import features as FE
 from sentispark.operators import learners as L
 from sentispark.operators import online as ON
+from sentispark.operators import phrases as PH
 from sentispark.operators import similarity as SIM
 from sentispark.plans.catalog import register
 from sentispark.plans.q_evaluate import heldout
@@ -75,23 +76,36 @@ def q_count_logreg_fit(spark, sf):
     return _preds(model.transform(docs))
 
 
-def _pv_errors(spark, sf, wanted):
+def _pv_errors(spark, sf, wanted, inferred: bool = False):
     """Error rate of logistic regression without penalty on the held-out documents, one row per
-    named list of paragraph-vector modes (their vectors concatenated)."""
+    named list of paragraph-vector modes (their vectors concatenated).  Vectors are trained on all
+    documents; with ``inferred``, further rows score the held-out documents by vectors inferred
+    from the trained word weights, as documents the models have not seen."""
     from pyspark.ml.functions import array_to_vector
     labels = cut_lineage(split_corpus(spark, sf).select("row_id", "split", F.col("label").cast("double").alias("label")))
-    modes = {m for parts in wanted.values() for m in parts}
-    vecs = {m: _embed(spark, sf, m)[0].select(F.col("key").alias("row_id"), F.col("vec").alias(m)) for m in sorted(modes)}
+    tokens = cut_lineage(_all_tokens(spark, sf))
+    unseen = tokens.join(heldout(labels).select("row_id"), "row_id", "left_semi")
+    trained, anew = {}, {}
+    for m in sorted({m for parts in wanted.values() for m in parts}):
+        vecs, words = _embed(spark, sf, m, tokens)
+        trained[m] = vecs.select(F.col("key").alias("row_id"), F.col("vec").alias(m))
+        if inferred:
+            anew[m] = _embed(spark, sf, m, unseen, words)[0].select(F.col("key").alias("row_id"), F.col("vec").alias(m))
     out = None
     for name, parts in wanted.items():
-        data = labels
-        for m in parts:
-            data = data.join(vecs[m], "row_id")
-        data = data.withColumn("features", array_to_vector(F.concat(*parts)))
-        model = L.logit_unregularised(maxIter=ITERS).fit(data.where(F.col("split") == "train"))
-        scored = heldout(model.transform(data).withColumn("prob", vector_to_array("probability")[1]))
-        row = E.error_rate(scored, "label", "prob").withColumn("name", F.lit(name))
-        out = row if out is None else out.unionByName(row)
+        def data(vecs, rows):
+            for m in parts:
+                rows = rows.join(vecs[m], "row_id")
+            return cut_lineage(rows.select("row_id", "split", "label", array_to_vector(F.concat(*parts)).alias("features")))
+        known = data(trained, labels)
+        model = L.logit_unregularised(maxIter=ITERS).fit(known.where(F.col("split") == "train"))
+        tests = {name: heldout(known)}
+        if inferred:
+            tests[f"{name}_inferred"] = data(anew, heldout(labels))
+        for label, rows in tests.items():
+            scored = model.transform(rows).withColumn("prob", vector_to_array("probability")[1])
+            row = E.error_rate(scored, "label", "prob").withColumn("name", F.lit(label))
+            out = row if out is None else out.unionByName(row)
     return out
 
 
@@ -100,10 +114,10 @@ def q_logit_unregularised(spark, sf):
     return _pv_errors(spark, sf, {"dbow": ["dbow"]})
 
 
-@register("pv_error_table", ops=("M8", "A15", "E1", "E2", "E3", "E4"))
+@register("pv_error_table", ops=("M8", "A15", "E1", "E2", "E3", "E4", "E5"))
 def q_pv_error_table(spark, sf):
     return _pv_errors(spark, sf, {"dbow": ["dbow"], "dmm": ["dmm"], "dmc": ["dmc"], "dbow+dmm": ["dbow", "dmm"],
-                                  "dbow+dmc": ["dbow", "dmc"]})
+                                  "dbow+dmc": ["dbow", "dmc"]}, inferred=True)
 
 
 @register("linear_svc", ops=("M9",))
@@ -245,7 +259,7 @@ def q_minmax_scale(spark, sf):
 
 
 # ---- E1-E8, E14 ------------------------------------------------------------------------------------------------
-WINDOW = {"dbow": 2, "dmm": 4, "dmc": 2, "cbow": 2}  # the study's windows
+WINDOW = {"dbow": 2, "dmm": 4, "dmc": 2, "cbow": 2, "sg": 2}  # the study's windows
 
 
 def _all_tokens(spark, sf):
@@ -291,14 +305,19 @@ def q_infer_vector(spark, sf):
     return _doc_out(_embed(spark, sf, "dbow", heldout(sp), words)[0])
 
 
+@register("pv_phrase_pair", ops=("E4", "W2", "W3"))
+def q_pv_phrase_pair(spark, sf):
+    """DBOW vectors of the bigram-phrased texts beside DMM vectors of the trigram-phrased ones."""
+    tokens = cut_lineage(_all_tokens(spark, sf))
+    bigrams = cut_lineage(PH.learn_and_apply(tokens, F.lit(True))[0])
+    trigrams = cut_lineage(PH.learn_and_apply(bigrams, F.lit(True))[0])
+    a, b = (_embed(spark, sf, m, docs)[0].withColumnRenamed("key", "row_id")
+            for m, docs in (("dbow", bigrams), ("dmm", trigrams)))
+    return SIM.concat_vectors(a, b, "row_id").select("row_id", "vec")
+
+
 def _skipgram_vectors(spark, sf):
-    from pyspark.ml.feature import Word2Vec
-    docs = _all_tokens(spark, sf)
-    tokens = docs.agg(F.sum(F.size("tokens"))).first()[0] or 0
-    parts = max(1, -(-int(tokens) // 1_000_000))  # a task trains about a million tokens
-    model = Word2Vec(vectorSize=100, windowSize=2, minCount=2, maxIter=20, numPartitions=parts, seed=1,
-                     inputCol="tokens", outputCol="v").fit(docs)
-    return model.getVectors().select(F.col("word").alias("term"), vector_to_array("vector").alias("vec"))
+    return _embed(spark, sf, "sg")[1].select("term", F.col("w_in").alias("vec"))
 
 
 def _cbow_vectors(spark, sf):
