@@ -1,4 +1,4 @@
-"""Learners at the ML edge (M5-M10, M13, M14, M18, M20, M21, C3) on pyspark.ml.
+"""Learners at the ML edge (M5-M10, M13, M14 on dense columns, M18, M20, M21) on pyspark.ml.
 
 Vectors are built in the JVM from a fitted vocabulary whose size is the
 caller's ``max_features`` (the only thing brought to the driver, and its size
@@ -15,8 +15,7 @@ import math
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, LinearSVC, LogisticRegression,
                                        MultilayerPerceptronClassifier)
-from pyspark.ml.feature import (IDF, CountVectorizerModel, ElementwiseProduct, Normalizer, PCA,
-                                VectorSlicer)
+from pyspark.ml.feature import IDF, CountVectorizerModel, ElementwiseProduct, Normalizer, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import DenseVector
 from pyspark.ml.regression import LinearRegression
@@ -164,11 +163,6 @@ def mlp_classifier(n_features: int, hidden: int = 64, seed: int = 7, max_iter: i
     return MultilayerPerceptronClassifier(layers=[n_features, hidden, 2], seed=seed, maxIter=max_iter)
 
 
-def pca_project(df: DataFrame, k: int = 10, input_col: str = "features") -> DataFrame:
-    """PCA projection (rows up to sign)."""
-    return PCA(k=k, inputCol=input_col, outputCol="pca").fit(df).transform(df)
-
-
 def pipeline(terms: list[str], classifier, tokens_col: str = "grams") -> Pipeline:
     """M6: vectorizer -> classifier as one Pipeline."""
     cv = CountVectorizerModel.from_vocabulary(terms, inputCol=tokens_col, outputCol="features")

@@ -9,6 +9,7 @@ from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from sentispark.operators import boosting as BO
 from sentispark.operators import corpus as C
 from sentispark.operators import embed as EM
 from sentispark.operators import evaluate as E
@@ -17,6 +18,7 @@ from sentispark.operators import learners as L
 from sentispark.operators import online as ON
 from sentispark.operators import phrases as PH
 from sentispark.operators import similarity as SIM
+from sentispark.operators import sparse as SP
 from sentispark.plans.catalog import register
 from sentispark.plans.q_evaluate import heldout
 from sentispark.plans.q_features import WITH_SPLIT, split_corpus
@@ -122,16 +124,14 @@ def q_pv_error_table(spark, sf):
 
 @register("linear_svc", ops=("M9",))
 def q_linear_svc(spark, sf):
-    feats, _ = ml_frame(spark, sf, GRAMS, FEATURES)
-    tr, n = _train(feats)
-    return _preds(L.linear_svc(n, maxIter=ITERS).fit(tr).transform(feats))
+    feats, terms = ml_frame(spark, sf, GRAMS, FEATURES)
+    return _preds(SP.svc(_train(feats)[0], len(terms), max_iter=ITERS).transform(feats))
 
 
 @register("l1_select_then_svc", ops=("M10",))
 def q_l1_select_then_svc(spark, sf):
-    feats, _ = ml_frame(spark, sf, GRAMS, FEATURES)
-    tr, n = _train(feats)
-    return _preds(L.l1_select_then_svc(tr, n, max_iter=ITERS).transform(feats))
+    feats, terms = ml_frame(spark, sf, GRAMS, FEATURES)
+    return _preds(SP.l1_select_then_svc(_train(feats)[0], len(terms), max_iter=ITERS).transform(feats))
 
 
 @register("ridge_classifier", ops=("M13",))
@@ -143,9 +143,9 @@ def q_ridge_classifier(spark, sf):
 
 @register("adaboost_stumps", ops=("M14",))
 def q_adaboost_stumps(spark, sf):
-    feats, _ = ml_frame(spark, sf, kind="count")
-    tr, _n = _train(feats)
-    return _preds(L.adaboost_stumps(tr).transform(feats))
+    feats, _ = ml_frame(spark, sf, GRAMS, FEATURES, kind="count")
+    rows = cut_lineage(SP.from_vectors(feats))
+    return _preds(BO.boost_stumps(rows.where(F.col("split") == "train")).transform(rows))
 
 
 def _chi2_terms(spark, sf, k: int):
@@ -167,23 +167,17 @@ def q_mlp_classify(spark, sf):
 
 @register("pca_project", ops=("C3",))
 def q_pca_project(spark, sf):
-    terms = _chi2_terms(spark, sf, 2000)  # the covariance is terms x terms on the driver
-    feats, _ = ml_frame(spark, sf, vocab_terms=terms)
-    out = L.pca_project(feats, 10).withColumn("pc", vector_to_array("pca"))
-    return out.select("row_id", *[F.col("pc")[i].alias(f"pc{i}") for i in range(10)])
+    feats, terms = ml_frame(spark, sf, GRAMS, FEATURES)
+    rows = SP.keep_rows(SP.from_vectors(feats.select("row_id", "features")))
+    mean, components, _ = SP.principal_components(rows, len(terms), 10)
+    return SP.project(rows, mean, components).select("row_id", *[F.col("pc")[i].alias(f"pc{i}") for i in range(10)])
 
 
 # ---- M15 / M16 (iterative parameter mixing) ------------------------------------------------------------------
 def _online(spark, sf, rule: str):
-    sp = split_corpus(spark, sf)
-    dtc = FE.doc_term_table(FE.doc_grams(sp, GRAMS, None, extra=("split",)), extra=("split",))
-    vocab = FE.fit_vocabulary_counts(dtc.where(F.col("split") == "train"), FEATURES)
-    counts = FE.vectorize_counts(dtc, vocab, FEATURES)
-    n_docs = sp.where(F.col("split") == "train").agg(F.count(F.lit(1)).alias("n"))
-    vals = FE.tfidf(counts, vocab, n_docs, FEATURES).withColumnRenamed("tfidf", "value")
-    labels = sp.select("row_id", "label", "split")
-    rows = ON.sparse_rows(vals, labels).join(labels.select("row_id", "split"), "row_id")
-    w = ON.fit_online(rows.where(F.col("split") == "train").drop("split"), FEATURES, rule, epochs=5)
+    feats, _ = ml_frame(spark, sf, GRAMS, FEATURES)
+    rows = cut_lineage(SP.from_vectors(feats.withColumn("label", F.col("label").cast("int"))))
+    w = ON.fit_online(rows.where(F.col("split") == "train"), rule, epochs=5)
     return ON.predict_online(rows, w).select("row_id", "split", "label", "score", "prediction")
 
 
