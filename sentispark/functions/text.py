@@ -46,7 +46,9 @@ HTML_ENTITIES = (("apos", "'"), ("middot", "·"), ("hellip", "…"),
                  ("ldquo", "“"), ("rdquo", "”"), ("bull", "•"),
                  ("trade", "™"), ("euro", "€"), ("pound", "£"),
                  ("deg", "°"))
-AMP_SENTINEL = "\ue000"  # private-use placeholder for a decoded &amp;
+#: One reference: a legacy name with or without semicolon, or a name or number with one.
+REFERENCE = ("&(?:(?:amp|" + "|".join(n for n, _ in HTML_ENTITIES_LEGACY) + ");?"
+             "|#[0-9]{1,7};|#[xX][0-9a-fA-F]{1,6};|[A-Za-z][A-Za-z0-9]*;)")
 
 COMMENT_RE = r"(?s)<!--.*?-->"
 SCRIPT_STYLE_RE = r"(?is)<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
@@ -71,29 +73,26 @@ def _codepoint_char(cp: Column) -> Column:
 
 
 def decode_entities(c: ColumnOrName) -> Column:
-    """Decode HTML entities exactly once (``&amp;lt;`` -> ``&lt;``).
-    Texts without ``&`` skip the whole chain."""
+    """Decode HTML references in one pass from left to right: the text is cut at its references,
+    each is mapped on its own and the pieces are joined, so what a reference decodes to is
+    never read again (``&amp;lt;`` and ``&#38;lt;`` give ``&lt;``).  Texts without ``&`` skip it."""
     return let(_c(c), lambda v: F.when(v.contains("&"), _decode_entities(v)).otherwise(v))
 
 
+def _decode_reference(ref: Column) -> Column:
+    """The text of one match of ``REFERENCE``; names that are not in the tables are a blank."""
+    body = F.rtrim(F.substring(ref, 2, 64), F.lit(";"))
+    names = F.create_map(*[F.lit(x) for pair in (("amp", "&"), *HTML_ENTITIES_LEGACY, *HTML_ENTITIES) for x in pair])
+    return (F.when(body.rlike("^#[xX]"), _codepoint_char(F.conv(F.substring(body, 3, 6), 16, 10).cast("int")))
+            .when(body.startswith("#"), _codepoint_char(F.substring(body, 2, 7).cast("int")))
+            .otherwise(F.coalesce(F.try_element_at(names, body), F.lit(" "))))
+
+
 def _decode_entities(src: Column) -> Column:
-    x = F.regexp_replace(src, r"&amp;?", AMP_SENTINEL)
-    for name, ch in HTML_ENTITIES_LEGACY:
-        x = F.regexp_replace(x, f"&{name};?", ch)
-    for name, ch in HTML_ENTITIES:
-        x = F.replace(x, F.lit(f"&{name};"), F.lit(ch))
-    # numeric references are folded by a higher-order aggregate
-    x = let(x, lambda v: F.when(~v.contains("&#"), v).otherwise(F.aggregate(
-        F.regexp_extract_all(v, F.lit(r"&#([0-9]{1,7});"), 1), v,
-        lambda acc, n: F.replace(acc, F.concat(F.lit("&#"), n, F.lit(";")),
-                                 _codepoint_char(n.cast("int"))))))
-    x = let(x, lambda v: F.when(~v.contains("&#"), v).otherwise(F.aggregate(
-        F.regexp_extract_all(v, F.lit(r"&#[xX]([0-9a-fA-F]{1,6});"), 1), v,
-        lambda acc, h: F.replace(acc, F.concat(F.lit("&#x"), h, F.lit(";")),
-                                 _codepoint_char(F.conv(h, 16, 10).cast("int"))))))
-    x = F.regexp_replace(x, r"&#[xX][0-9a-fA-F]{1,6};", " ")
-    x = F.regexp_replace(x, r"&[A-Za-z][A-Za-z0-9]*;", " ")
-    return F.replace(x, F.lit(AMP_SENTINEL), F.lit("&"))
+    pieces = F.split(src, REFERENCE, -1)
+    decoded = F.transform(F.regexp_extract_all(src, F.lit(REFERENCE), 0), _decode_reference)
+    # one piece more than references: the last one meets a null
+    return F.array_join(F.zip_with(pieces, decoded, lambda p, r: F.concat(p, F.coalesce(r, F.lit("")))), "")
 
 
 def strip_html(c: ColumnOrName, decode: bool = True) -> Column:

@@ -27,24 +27,16 @@ def _cp_char(n: str) -> str:
 
 def decode_entity_steps() -> list:
     """Entity decoding as a list of one-argument templates (``{t}`` = input);
-    each step is applied in its own CTE so no expression text is repeated."""
-    steps = []
-    x = rx("{t}", "&amp;?", T.AMP_SENTINEL)
-    for name, ch in T.HTML_ENTITIES_LEGACY:
-        x = rx(x, f"&{name};?", ch)
-    for name, ch in T.HTML_ENTITIES:
-        x = f"replace({x}, {q('&' + name + ';')}, {q(ch)})"
-    steps.append(x)
-    dec = _cp_char("CAST(n AS INTEGER)")
-    steps.append("list_reduce(regexp_extract_all({t}, '&#([0-9]{1,7});', 1), "
-                 f"lambda acc, n: replace(acc, '&#' || n || ';', {dec}), {{t}})")
-    hexc = _cp_char("CAST('0x' || h AS INTEGER)")
-    steps.append("list_reduce(regexp_extract_all({t}, '&#[xX]([0-9a-fA-F]{1,6});', 1), "
-                 f"lambda acc, h: replace(acc, '&#x' || h || ';', {hexc}), {{t}})")
-    x = rx("{t}", "&#[xX][0-9a-fA-F]{1,6};", " ")
-    x = rx(x, "&[A-Za-z][A-Za-z0-9]*;", " ")
-    steps.append(f"replace({x}, {q(T.AMP_SENTINEL)}, '&')")
-    return steps
+    each step is applied in its own CTE so no expression text is repeated.  The
+    text is cut at its references, they are mapped, the pieces are joined."""
+    cut = (f"struct_pack(p := string_split_regex({{t}}, {q(T.REFERENCE)}), r := regexp_extract_all({{t}}, {q(T.REFERENCE)}))")
+    names = " ".join(f"WHEN {q('&' + name)} THEN {q(ch)}" for name, ch in (("amp", "&"), *T.HTML_ENTITIES_LEGACY, *T.HTML_ENTITIES))
+    dec = _cp_char("TRY_CAST(substr(rtrim(e, ';'), 3) AS INTEGER)")
+    hexc = _cp_char("TRY_CAST('0x' || substr(rtrim(e, ';'), 4) AS INTEGER)")
+    decode = (f"list_transform({{t}}.r, lambda e: CASE WHEN e[1:3] IN ('&#x', '&#X') THEN {hexc} "
+              f"WHEN e[1:2] = '&#' THEN {dec} ELSE CASE rtrim(e, ';') {names} ELSE ' ' END END)")
+    join = ("array_to_string(list_transform(range(1, len({t}.p) + 1), lambda i: {t}.p[i] || coalesce({t}.r[i], '')), '')")
+    return [cut, f"struct_pack(p := {{t}}.p, r := {decode})", join]
 
 
 def strip_tags(x: str) -> str:

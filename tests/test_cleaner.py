@@ -62,3 +62,26 @@ def test_whitespace_tokens_and_ngrams(spark):
 def test_path_to_name(spark):
     df = spark.createDataFrame([("train/pos",)], "f string")
     assert df.select(T.path_to_name("f")).first()[0] == "train-pos.txt"
+
+
+NESTED = {
+    "&amp;lt;": "&lt;", "&#38;lt;": "&lt;", "&#x26;amp;": "&amp;", "&amp;amp;amp;": "&amp;amp;", "&amp;#38;": "&#38;",
+    "&lt&amp;gt": "<&gt", "a&#X41;&#65;&#0;b": "aAA\ufffdb", "&unknown;&hellip;&bogus": " \u2026&bogus",
+    "&&lt;;&": "&<;&", "&#38;#x41;&regular;": "&#x41;\u00aeular;", "&#1234567890;&#xD800;": "&#1234567890;\ufffd", "&nbsp": "\u00a0",
+}
+
+
+def test_references_are_decoded_once(spark):
+    rows = [(k, v) for k, v in NESTED.items()] + [(f"x {k} y", f"x {v} y") for k, v in NESTED.items()] + [(None, None), ("", "")]
+    df = spark.createDataFrame(rows, "t string, want string").select("t", "want", T.decode_entities("t").alias("got"))
+    assert [(r.t, r.got) for r in df.collect() if r.got != r.want] == []
+
+
+def test_references_in_sql_agree():
+    import duckdb
+    from sentispark.plans import sqltext as S
+    con = duckdb.connect()
+    con.execute("CREATE TABLE s (t VARCHAR, want VARCHAR)")
+    con.executemany("INSERT INTO s VALUES (?, ?)", list(NESTED.items()))
+    got = con.sql("WITH " + ", ".join(S.staged("d", "s", "want", "t", S.decode_entity_steps())) + " SELECT want, t FROM d").fetchall()
+    assert [r for r in got if r[0] != r[1]] == [] and len(got) == len(NESTED)
