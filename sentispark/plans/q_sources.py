@@ -12,7 +12,7 @@ from sentispark.operators.ranking import global_row_number
 from sentispark.plans import sqltext as S
 from sentispark.plans.catalog import register
 from sentispark.session import ensure_checkpoint_dir
-from sentispark.sources.tables import text_table
+from sentispark.sources.tables import table, text_table
 from sentispark.streaming.clean_stream import stream_clean_documents
 
 
@@ -105,6 +105,26 @@ def q_folder_text_roundtrip(spark, sf):
     return spark.read.text(root).select("file", F.col("value").alias("line"))
 
 
+@register("text_dir_roundtrip", """
+SELECT CAST(d.doc_id AS VARCHAR) AS key, CASE WHEN d.doc_id % 2 = 1 AND quality IS NOT NULL THEN 'test' ELSE 'train' END || '/'
+  || CASE quality WHEN 1 THEN 'pos' WHEN 0 THEN 'neg' ELSE 'unsup' END AS folder,
+  CASE WHEN quality IS NULL THEN 'extra' WHEN d.doc_id % 2 = 1 THEN 'test' ELSE 'train' END AS split,
+  CAST(quality AS DOUBLE) AS sentiment, coalesce(text, '') AS text
+FROM documents d LEFT JOIN labels l USING (doc_id)""", ops=("S4",))
+def q_text_dir_roundtrip(spark, sf):
+    """Every document written as a file of its own below its split and class folder (unlabelled
+    ones under ``train/unsup``), read back with split and class taken from the path."""
+    from sentispark.sources.document_files import read_document_files, write_document_files
+    from sentispark.sources.files import folder_split, folder_sentiment
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/files-{uuid.uuid4().hex}"
+    docs = table(spark, sf, "documents").join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id", "left")
+    split = F.when((F.col("doc_id") % 2 == 1) & F.col("quality").isNotNull(), "test").otherwise("train")
+    label = F.when(F.col("quality") == 1, "pos").when(F.col("quality") == 0, "neg").otherwise("unsup")
+    write_document_files(docs.select(F.concat_ws("/", split, label).alias("folder"), F.col("doc_id").alias("key"), "text"), root)
+    return read_document_files(spark, root).select(
+        "key", "folder", folder_split(F.col("folder")).alias("split"), folder_sentiment(F.col("folder")).alias("sentiment"), "text")
+
+
 @register("write_if_absent", S.BASE + "SELECT row_id, text, target FROM clean_nn", ops=("S8", "S3"))
 def q_write_if_absent(spark, sf):
     """The cleaned corpus is built once; a second build into the same place

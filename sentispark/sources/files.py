@@ -6,7 +6,7 @@ All readers take explicit schemas (no inference); all writers go through
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sentispark.functions import text as T
@@ -52,6 +52,16 @@ def write_if_absent(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.mode("ignore").format(fmt).save(path)
 
 
+def folder_split(folder: Column) -> Column:
+    """Split of a ``<split>/<label>`` folder; unlabelled training texts are ``extra``."""
+    split = F.regexp_extract(folder, r"^([^/]+)/", 1)
+    return F.when((split == "train") & folder.endswith("/unsup"), "extra").otherwise(split)
+
+
+def folder_sentiment(folder: Column) -> Column:
+    return F.when(folder.endswith("/pos"), F.lit(1.0)).when(folder.endswith("/neg"), F.lit(0.0)).otherwise(F.lit(None).cast("double"))
+
+
 def read_text_dir(spark: SparkSession, root: str, folders=FOLDERS) -> DataFrame:
     """One document per file under ``root/<split>/<label>/*.txt``.
 
@@ -59,16 +69,11 @@ def read_text_dir(spark: SparkSession, root: str, folders=FOLDERS) -> DataFrame:
     Returns ``(path, folder, split, sentiment, text)``.
     """
     paths = [f"{root.rstrip('/')}/{f}/*.txt" for f in folders]
-    df = spark.read.option("wholetext", "true").text(paths)
+    df = spark.read.text(paths, wholetext=True)  # as an option it would be overridden
     path = F.col("_metadata.file_path")
     folder = F.regexp_extract(path, r"/([^/]+/[^/]+)/[^/]+$", 1)
-    split = F.regexp_extract(folder, r"^([^/]+)/", 1)
-    lab = F.regexp_extract(folder, r"/([^/]+)$", 1)
-    sentiment = F.when(lab == "pos", F.lit(1.0)).when(lab == "neg", F.lit(0.0)).otherwise(F.lit(None).cast("double"))
-    return df.select(path.alias("path"), folder.alias("folder"),
-                     F.when(split == "train", F.when(lab == "unsup", "extra").otherwise("train"))
-                     .otherwise(split).alias("split"), sentiment.alias("sentiment"),
-                     F.col("value").alias("text"))
+    return df.select(path.alias("path"), folder.alias("folder"), folder_split(folder).alias("split"),
+                     folder_sentiment(folder).alias("sentiment"), F.col("value").alias("text"))
 
 
 def write_folder_text(docs: DataFrame, root: str, one_line: bool = False) -> None:
