@@ -1,5 +1,7 @@
 """Vector similarity, deterministic picks and shuffles.
 
+Many queries are answered in blocks (:func:`most_similar_many`).  Otherwise:
+
 A query is one vector (or a handful): it is broadcast against the table and
 the top-k is a TakeOrderedAndProject, so no pair table is ever formed.  Full
 rankings use the distributed ranker.  Random choices are replaced by an md5
@@ -8,10 +10,13 @@ order under a seed, so they repeat on any partitioning.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sentispark.operators.ranking import global_row_number
+from sentispark.session import cut_lineage
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -45,6 +50,69 @@ def most_similar(table: DataFrame, query: DataFrame, key: str, vec: str, k: int
             .select("q_key", key, "similarity"))
 
 
+def _nearest_in_blocks(ids: np.ndarray, units: np.ndarray, k: int, exclude_self: bool, digits: int):
+    """``mapInPandas`` function: for every query of one block the ``k`` nearest of a task's rows."""
+    def best(query: np.ndarray, key: np.ndarray, sim: np.ndarray):
+        order = np.lexsort((key, -sim, query))
+        query, key, sim = query[order], key[order], sim[order]
+        start = np.flatnonzero(np.concatenate([[True], query[1:] != query[:-1]]))
+        place = np.arange(len(query)) - np.repeat(start, np.diff(np.append(start, len(query))))
+        return query[place < k], key[place < k], sim[place < k]
+
+    def run(batches):
+        held = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        for b in batches:
+            if not len(b):
+                continue
+            vec = np.array(b["vec"].tolist(), float)
+            size = np.sqrt((vec * vec).sum(axis=1))
+            some = size > 0
+            key, vec = b["key"].to_numpy()[some], vec[some] / size[some, None]
+            for at in range(0, len(key), 1024):  # rows x queries held at once
+                sim = np.round(vec[at:at + 1024] @ units.T, digits)
+                if exclude_self:
+                    sim[key[at:at + 1024, None] == ids[None, :]] = -np.inf
+                depth = min(k, len(sim))
+                # every row that reaches a query's k-th similarity, ties included
+                last = np.partition(sim, len(sim) - depth, axis=0)[len(sim) - depth]
+                row, query = np.nonzero((sim >= last) & (sim > -np.inf))
+                new = (query, key[at + row], sim[row, query])
+                held = best(*(np.concatenate(p) for p in zip(held, new)))
+        yield pd.DataFrame({"q_key": ids[held[0]], "key": held[1], "similarity": held[2]})
+    return run
+
+
+def most_similar_many(table: DataFrame, queries: DataFrame, key: str, vec: str, k: int = 3, exclude_self: bool = True,
+                      digits: int = 9, block: int = 4096) -> DataFrame:
+    """E10 for many queries: ``q_key, key, similarity, rank`` (1 to ``k``) of the nearest rows of
+    ``table`` to every row of ``queries``, ties by key.  Both have a long key and vectors of
+    one length; null and zero vectors have no neighbours.
+
+    Queries are dealt to blocks of about ``block``; a block goes to the tasks as one matrix of that
+    bounded size and meets the rows in matrix products, of which a task keeps ``k`` a query.
+    Then at most ``k`` rows a query and task are ranked by query."""
+    spark, has = table.sparkSession, F.col(vec).isNotNull()
+    rows = cut_lineage(table.where(has).select(F.col(key).cast("long").alias("key"), F.col(vec).cast("array<double>").alias("vec")))
+    asked = queries.where(has).select(F.col(key).cast("long").alias("key"), F.col(vec).cast("array<double>").alias("vec"))
+    blocks = max(1, -(-asked.count() // block))
+    asked = cut_lineage(asked.withColumn("of", F.pmod(F.xxhash64("key"), F.lit(blocks))))
+    out = spark.createDataFrame([], "q_key long, key long, similarity double")
+    for number in range(blocks):
+        part = asked.where(F.col("of") == number).toPandas()
+        if not len(part):
+            continue
+        matrix = np.array(part["vec"].tolist(), float).reshape(len(part), -1)
+        size = np.sqrt((matrix * matrix).sum(axis=1))
+        some = size > 0
+        if some.any():
+            units = matrix[some] / size[some, None]
+            out = out.unionByName(cut_lineage(rows.mapInPandas(
+                _nearest_in_blocks(part["key"].to_numpy()[some], units, k, exclude_self, digits),
+                "q_key long, key long, similarity double")))
+    place = F.row_number().over(Window.partitionBy("q_key").orderBy(F.col("similarity").desc(), "key"))
+    return out.withColumn("rank", place).where(F.col("rank") <= k).withColumnRenamed("key", key)
+
+
 def similarity_ranking(table: DataFrame, query: DataFrame, key: str, vec: str, digits: int = 9) -> DataFrame:
     """Full ranking (0-based) of every row by cosine to the query row."""
     q = query.select(F.col(key).alias("q_key"), F.col(vec).alias("q_vec"))

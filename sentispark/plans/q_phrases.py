@@ -12,6 +12,7 @@ from sentispark.operators import similarity as SIM
 from sentispark.plans.catalog import register
 from sentispark.plans.q_features import WITH_SPLIT, split_corpus
 from sentispark.plans import sqltext as S
+from sentispark.session import cut_lineage
 from sentispark.sources.tables import all_corpus, table
 
 
@@ -96,6 +97,28 @@ def q_most_similar_docs(spark, sf):
     return SIM.most_similar(emb, SIM.seeded_pick(emb, "vec_id", 7), "vec_id", "embedding", 3, exclude_self=False)
 
 
+@register("most_similar_docs_many", f"""
+SELECT q_key, vec_id, similarity, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY q_key ORDER BY similarity DESC, vec_id) AS rank FROM (
+    SELECT q.vec_id AS q_key, e.vec_id, round({_cos_sql('e.embedding', 'q.embedding')}, 9) AS similarity
+    FROM embeddings q JOIN embeddings e ON q.vec_id <> e.vec_id WHERE q.vec_id % 20 = 0))
+WHERE rank <= 3""", ops=("E10",))
+def q_most_similar_docs_many(spark, sf):
+    """The three nearest of all vectors to every vector whose id is divisible by 20."""
+    emb = table(spark, sf, "embeddings")
+    return SIM.most_similar_many(emb, emb.where(F.col("vec_id") % 20 == 0), "vec_id", "embedding", 3)
+
+
+@register("doc_neighbours", ops=("E10", "E1"))
+def q_doc_neighbours(spark, sf):
+    """The three documents nearest to every held-out document by DBOW paragraph vectors."""
+    from sentispark.plans.q_evaluate import heldout
+    from sentispark.plans.q_models import _embed
+    vecs = cut_lineage(_embed(spark, sf, "dbow")[0])
+    held = vecs.join(heldout(split_corpus(spark, sf)).select(F.col("row_id").alias("key")), "key", "left_semi")
+    return SIM.most_similar_many(vecs, held, "key", "vec", 3).withColumnsRenamed({"q_key": "row_id", "key": "similar"})
+
+
 @register("most_median_least", f"WITH {_pick_sql(11)},\n" + f"""
 r AS (SELECT q_key, vec_id, similarity, row_number() OVER (ORDER BY similarity DESC, vec_id) - 1 AS rank FROM (
       SELECT q_key, vec_id, round({_cos_sql('embedding', 'q_vec')}, 9) AS similarity FROM embeddings, q
