@@ -49,3 +49,8 @@ def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
     """Hint a broadcast of a (narrow) table that counts at most ``rows`` rows;
     beyond that Spark joins by shuffle."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def unused_name(df: DataFrame, label: str) -> str:
+    """A column name that ``df`` does not have."""
+    return f"__{label}_{uuid.uuid4().hex}"

@@ -136,6 +136,35 @@ def test_leaks_match_brute_force(spark, make_docs):
     assert D.find_leaks(make_docs(docs).limit(0), bench).count() == 0
 
 
+def test_an_item_is_found_as_often_as_it_stands(spark, make_docs):
+    item = [f"q{i}" for i in range(12)]
+    near = [*item[:5], "other", *item[6:]]
+    rows = [(1, " ".join([*item, *near, "x", *item])), (2, " ".join([*near, "y", "z", *near])), (3, " ".join(item[:6]))]
+    bench = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    got = sorted((r.doc_id, r.start, r.stop, r.distance) for r in D.find_leaks(make_docs(rows), bench).collect())
+    assert got == [(1, 0, 12, 0), (1, 12, 24, 1), (1, 25, 37, 0), (2, 0, 12, 1), (2, 14, 26, 1)]
+
+
+def test_long_items_are_walked_in_small_chunks():
+    words = [f"u{i}" for i in range(6000)]
+    index = D.Items([(1, " ".join(words))])
+    text = " ".join(["before"] * 40 + words[:3000] + words[3001:] + ["behind"] * 40)
+    assert index.search([text], WordHashes()) == [(0, 1, 40, 6039, 1)]
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    from sentispark.llm import grace
+    names = ["__score", "__leaked", "__ident", "__first", "content", "h"]
+    docs = spark.createDataFrame([(i, f"text {i % 3}", *[float(i)] * len(names)) for i in range(9)],
+                                 "doc_id long, text string, " + ", ".join(f"{n} double" for n in names))
+    bench = spark.createDataFrame([(1, "not here at all you see")], "item_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (2, 0)], "doc_id long, toxic int")
+    for got in (D.drop_leaks(docs, bench), T.reject_toxic(docs, labels), grace.distinct_documents(docs)):
+        rows = got.collect()
+        assert got.columns == docs.columns and len(rows) in (3, 9)
+        assert all(r[n] == float(r.doc_id) for r in rows for n in names)
+
+
 def test_exact_leaks_in_the_tables(spark):
     docs, bench = (spark.read.parquet(f"{SF001}/{t}.parquet") for t in ("documents", "benchmark"))
     plain = {r.doc_id: " " + " ".join(re.findall(r"\w+", r.text.lower())) + " " for r in docs.collect()}
