@@ -28,6 +28,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sentispark.llm.common import unused_name
+
 #: White space replaced by one space before texts are compared.
 WHITE = r"[\x20\x09-\x0D]+"
 CLASSES = "h long, content string, min_id long, n long, n_min long"
@@ -172,8 +174,9 @@ def distinct_documents(docs: DataFrame) -> DataFrame:
     def ident(sha: Column, doc_id: Column) -> Column:
         return F.concat_ws(":", sha, F.coalesce(doc_id.cast("string"), F.lit("null")))
 
-    kept = text_classes(docs).select(ident(F.sha2(F.encode("content", "UTF-8"), 256), F.col("keep_id")).alias("__ident"))
-    keyed = docs.withColumn("__ident", ident(F.sha2(F.encode(normalised(), "UTF-8"), 256), F.col("doc_id")))
-    first = F.row_number().over(Window.partitionBy("__ident").orderBy(F.lit(0)))
-    return (keyed.join(kept, "__ident", "left_semi").withColumn("__first", first)
-            .where("__first = 1").select(*[F.col(f"`{c}`") for c in docs.columns]))
+    name, place = unused_name(docs, "ident"), unused_name(docs, "first")
+    kept = text_classes(docs).select(ident(F.sha2(F.encode("content", "UTF-8"), 256), F.col("keep_id")).alias(name))
+    keyed = docs.withColumn(name, ident(F.sha2(F.encode(normalised(), "UTF-8"), 256), F.col("doc_id")))
+    first = F.row_number().over(Window.partitionBy(name).orderBy(F.lit(0)))
+    return (keyed.join(kept, name, "left_semi").withColumn(place, first)
+            .where(F.col(place) == 1).select(*[F.col(f"`{c}`") for c in docs.columns]))

@@ -31,6 +31,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sentispark.llm.common import unused_name
+
 PREFIX = 4
 BITS = 18
 _WORD = re.compile(r"\w+")
@@ -179,5 +181,5 @@ def score_documents(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_00
 def reject_toxic(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000) -> DataFrame:
     """Documents that score below 0.5, all columns."""
     machine = train_toxicity(docs, labels, sample_rows)
-    return (docs.withColumn("__score", toxicity_score(machine)).where("__score < 0.5")
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    name = unused_name(docs, "score")
+    return docs.withColumn(name, toxicity_score(machine)).where(F.col(name) < 0.5).drop(name)
