@@ -8,9 +8,11 @@ two linear weights.  The pair sum costs one pass: half of ``|sum v|^2 - sum |v|^
 
 Fitting uses a bounded sample of the labelled training rows: rows whose hash
 of ``doc_id`` lies below a threshold set so that about ``sample_rows`` of them remain
-(all of them if there are fewer).  Their buckets, not their texts, go to the driver;
-the ``features`` buckets most associated with the label (chi-squared) are fitted by
-Adagrad on mini-batches.  Scoring is one Arrow pass over whole texts; nothing is
+(all of them if there are fewer).  Their buckets, not their texts, go to the driver.
+Fitted is every bucket with support that passes a significance test (:func:`telling_buckets`): how
+far its holders' share of label 1 is from that of all rows, or the same of a pair with another
+bucket in excess of either's own, each against the number of tests made.  So buckets that tell nothing cannot be
+overfitted, and no number of buckets is fixed.  The fit is Adagrad on mini-batches.  Scoring is one Arrow pass over whole texts; nothing is
 shuffled.
 
 Defined results: null and empty texts hold no terms and score the prior; rows
@@ -88,28 +90,67 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(np.array(out, float), -30, 30)))
 
 
-def fit_machine(rows: list[np.ndarray], labels: np.ndarray, features: int = 256, factors: int = 4,
-                epochs: int = 12, rate: float = 0.1, l2: float = 1e-4, batch_rows: int = 64,
-                least_steps: int = 800, seed: int = 7) -> Machine:
+def _evidence(one: np.ndarray, df: np.ndarray, share: float) -> np.ndarray:
+    """``df`` times the Kullback-Leibler divergence of the positive share among the ``df`` holders
+    (``one`` of them positive) from ``share``: by Chernoff's bound, chance gives this much or more with
+    probability below exp(-evidence), however few the holders."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        q = one / df
+        up = np.where(one > 0, one * np.log(q / share), 0.0)
+        down = np.where(one < df, (df - one) * np.log((1 - q) / (1 - share)), 0.0)
+    return np.where(df > 0, up + down, 0.0)
+
+
+def _cut(tests: int, chance: float) -> float:
+    """Evidence that fewer than ``chance`` of ``tests`` tests are expected to give by chance."""
+    return max(0.0, float(np.log(max(tests, 1) / chance)))
+
+
+def telling_buckets(rows: list[np.ndarray], labels: np.ndarray, support: int = 3, chance: float = 20.0,
+                    pair_chance: float = 0.05, pair_buckets: int = 1024) -> np.ndarray:
+    """Buckets held by ``support`` rows or more that tell something about the label, alone or with
+    another one; by chance fewer than ``chance`` and ``pair_chance`` are expected.  Pairs are tested among the ``pair_buckets`` most frequent buckets that at most half
+    of the rows hold; a pair counts when it tells more than the better of its two."""
+    n, pos = len(rows), int(labels.sum())
+    one, df = np.zeros(1 << BITS, np.int64), np.zeros(1 << BITS, np.int64)
+    for r, y in zip(rows, labels):
+        df[r] += 1
+        if y:
+            one[r] += 1
+    able = np.flatnonzero((df >= support) & (df < n))
+    alone = able[_evidence(one[able], df[able], pos / n) >= _cut(len(able), chance)]
+    often = able[df[able] <= n / 2 + 0.05 * n]
+    often = np.sort(often[np.argsort(-df[often], kind="stable")[:pair_buckets]])
+    at = np.full(1 << BITS, -1, np.int64)
+    at[often] = np.arange(len(often))
+    both, both_one = np.zeros((2, len(often), len(often)))
+    for lo in range(0, n, 2048):  # rows x buckets held at once
+        held = np.zeros((len(rows[lo:lo + 2048]), len(often)), np.float32)
+        for i, r in enumerate(rows[lo:lo + 2048]):
+            held[i, at[r][at[r] >= 0]] = 1
+        both += held.T @ held
+        both_one += held.T @ (held * labels[lo:lo + 2048, None].astype(np.float32))
+    pair = _evidence(both_one, both, pos / n)
+    own = np.diag(pair)
+    more = (pair - np.maximum(own[:, None], own[None, :]) >= _cut(len(often) ** 2 // 2, pair_chance)) & (both >= support)
+    return np.union1d(alone, often[more.any(axis=0)])
+
+
+def fit_machine(rows: list[np.ndarray], labels: np.ndarray, factors: int = 4,
+                epochs: int = 12, rate: float = 0.1, l2: float = 1e-3, batch_rows: int = 64,
+                least_steps: int = 800, balance: float = 0.5, seed: int = 7) -> Machine:
     """Fit on ``rows`` (each the buckets of one text) by Adagrad, in ``epochs`` passes or as many
-    as make ``least_steps`` steps."""
+    as make ``least_steps`` steps.  A class weighs in by its share of rows to the power -``balance``
+    (0: rows count alike; 1: classes do)."""
     n, pos = len(rows), int(labels.sum())
     prior = float(np.log((pos + 0.5) / (n - pos + 0.5)))
     if pos == 0 or pos == n:
         return Machine(prior, np.zeros(0, np.int64), np.zeros(0), np.zeros((0, factors)))
-    one = np.zeros(1 << BITS)
-    zero = np.zeros(1 << BITS)
-    for r, y in zip(rows, labels):
-        (one if y else zero)[r] += 1
-    df = one + zero
-    with np.errstate(divide="ignore", invalid="ignore"):
-        chi = (one * (n - pos - zero) - zero * (pos - one)) ** 2 * n / (pos * (n - pos) * df * (n - df))
-    chi[(df < 3) | ~np.isfinite(chi)] = -1
-    top = np.argsort(-chi, kind="stable")[:features]
-    kept = np.sort(top[chi[top] >= 0])
+    kept = telling_buckets(rows, labels)
     at = np.full(1 << BITS, -1, np.int64)
     at[kept] = np.arange(len(kept))
     own = [x[x >= 0] for x in (at[r] for r in rows)]
+    weight = np.where(labels > 0, (n / (2 * pos)) ** balance, (n / (2 * (n - pos))) ** balance)
     rng = np.random.default_rng(seed)
     w0, w, v = prior, np.zeros(len(kept)), rng.normal(0, 0.01, (len(kept), factors))
     g0, gw, gv = 1e-8, np.full(len(w), 1e-8), np.full(v.shape, 1e-8)
@@ -122,7 +163,7 @@ def fit_machine(rows: list[np.ndarray], labels: np.ndarray, features: int = 256,
             np.add.at(s, row, v[idx])
             z = w0 + np.bincount(row, w[idx], len(batch))
             z += 0.5 * ((s * s).sum(1) - np.bincount(row, (v[idx] ** 2).sum(1), len(batch)))
-            err = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels[batch]
+            err = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels[batch]) * weight[batch]
             d0 = err.mean()
             dw = np.bincount(idx, err[row], len(w)) / len(batch) + l2 * w
             dv = np.zeros_like(v)

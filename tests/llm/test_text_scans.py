@@ -29,6 +29,37 @@ def test_machine_learns_a_pair():
     assert min(pair[0], pair[3]) > 0.5 and max(pair[1], pair[2]) < -0.5
 
 
+def test_scores_equal_a_plain_sum_over_pairs():
+    rng = np.random.default_rng(8)
+    words = [f"word{i}" for i in range(40)] + ["Größe", "x"]
+    buckets = np.unique([b for w in words[:30] for b in T.word_buckets(w.lower())])
+    m = T.Machine(-0.3, buckets, rng.normal(size=len(buckets)), rng.normal(size=(len(buckets), 3)) / 3)
+    texts = [" ".join(rng.choice(words, rng.integers(0, 12))) + "!" for _ in range(60)] + [None, "", "word1 " * 500]
+    place = {int(b): i for i, b in enumerate(buckets)}
+    for text, got in zip(texts, m.scores(texts)):
+        own = sorted({place[b] for w in set(re.findall(r"\w+", (text or "").lower())) for b in T.word_buckets(w) if b in place})
+        z = -0.3 + sum(m.w[i] for i in own) + sum(float(m.v[i] @ m.v[j]) for i in own for j in own if i < j)
+        assert abs(got - 1 / (1 + np.exp(-z))) < 1e-9
+
+
+def test_buckets_are_kept_by_significance():
+    rng = np.random.default_rng(3)
+    labels = (rng.random(2000) < 0.1).astype(float)
+    rows = [np.array(sorted({*rng.integers(1000, 5000, 40).tolist(), *([7] if y and rng.random() < 0.3 else [])}), np.int32) for y in labels]
+    kept = T.telling_buckets(rows, labels).tolist()
+    assert 7 in kept and len(kept) <= 20  # of 4,001 buckets, by no fixed number
+    many = [np.union1d(r, rng.choice(np.arange(10, 310), 8)).astype(np.int32) if y else r for r, y in zip(rows, labels)]
+    assert len(T.telling_buckets(many, labels)) > 270
+
+
+@pytest.mark.parametrize("sf,recall,precision", [(SF01, 0.6, 1.0), ("/root/testdata/sf0.1", 0.9, 0.98)])
+def test_held_out_recall_and_precision(spark, sf, recall, precision):
+    got = QUERIES["op4_factorization_machine"](spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id")
+    held = got.where("held_out").collect()
+    hit = sum(r.predicted and r.toxic for r in held)
+    assert hit / sum(r.toxic for r in held) >= recall and hit / sum(r.predicted for r in held) >= precision
+
+
 def test_held_out_accuracy_and_odd_texts(spark, make_docs):
     docs, labels = (spark.read.parquet(f"{SF01}/{t}.parquet") for t in ("documents", "labels"))
     got = QUERIES["op4_factorization_machine"](spark, SF01).join(labels, "doc_id")
