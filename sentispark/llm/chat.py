@@ -9,7 +9,8 @@ all the same.  Each turn gives text segments, each with its loss flag.
 Texts may contain the template's own control strings.  ``escape`` puts the
 template's escape character after the first character of each control string (and
 doubles the escape character), ``unescape`` undoes it, so the formatted text
-parses back in one way only.
+parses back in one way only.  In role names a newline becomes the escape character and
+``n``, undone in the same pass.
 
 Rows are dealt out by conversation, sorted by turn and streamed: a task holds
 one batch and one conversation's state, however many turns it has.  Segments
@@ -29,7 +30,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,7 +51,7 @@ class Template:
 
     def __post_init__(self):
         for c in self.controls:
-            if len(c) < 2 or self.escape_char in c or any(c[:k] == c[-k:] for k in range(1, len(c))):
+            if len(c) < 2 or self.escape_char in c or c[1] == "n" or any(c[:k] == c[-k:] for k in range(1, len(c))):
                 raise ValueError(f"control string {c!r} can't be told apart once escaped")
 
     def escape(self, text: str) -> str:
@@ -61,10 +62,16 @@ class Template:
         e = re.escape(self.escape_char)
         return re.sub(f"{e}({e}?)", lambda m: m[1], text)
 
+    def escape_name(self, role: str) -> str:
+        return self.escape(role).replace("\n", self.escape_char + "n")
+
+    def unescape_name(self, name: str) -> str:
+        e = re.escape(self.escape_char)
+        return re.sub(f"{e}({e}|n|)", lambda m: "\n" if m[1] == "n" else m[1], name)
+
     def segments(self, role: str, text: str) -> list[tuple[str, bool]]:
         """The turn's text segments with their loss flags."""
-        name = self.escape(role).replace("\n", self.escape_char + "n")
-        return [(self.open.replace("{role}", name), False),
+        return [(self.open.replace("{role}", self.escape_name(role)), False),
                 (self.escape(text), role in self.trained), (self.close, False)]
 
     def step(self, state: str, role: str) -> tuple[str, bool]:
@@ -83,30 +90,37 @@ def _starts(controls: tuple[str, ...]) -> re.Pattern:
 
 
 SEGMENTS = "conv_id long, turn_no long, segments array<struct<text: string, loss: boolean>>, valid boolean"
+_SEGMENTS = pa.schema([("conv_id", pa.int64()), ("turn_no", pa.int64()),
+                       ("segments", pa.list_(pa.struct([("text", pa.string()), ("loss", pa.bool_())]))), ("valid", pa.bool_())])
+
+
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = list(zip(*rows)) or [[]] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
 def format_chat(turns: DataFrame, template: Template = Template()) -> DataFrame:
     """``conv_id, turn_no`` (0-based), ``segments, valid`` of each turn; ``valid`` says
     whether the machine has accepted the conversation up to this turn.  Rows of
     a conversation lie together, in order, in one partition."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         conv, state, number, valid = object(), template.start, 0, True
         for b in batches:
             out = []
-            for c, role, text in zip(b["conv_id"].astype(object).where(b["conv_id"].notna(), None), b["role"], b["text"]):
+            for c, role, text in zip(*(b.column(x).to_pylist() for x in ("conv_id", "role", "text"))):
                 if c != conv:
                     conv, state, number, valid = c, template.start, 0, True
                 state, allowed = template.step(state, role)
                 valid = valid and allowed
                 out.append((c, number, [{"text": t, "loss": x} for t, x in template.segments(role, text)], valid))
                 number += 1
-            yield pd.DataFrame(out, columns=["conv_id", "turn_no", "segments", "valid"]).astype({"conv_id": "Int64"})
+            yield _batch(out, _SEGMENTS)
 
     ordered = (turns.select(F.col("conv_id").cast("long").alias("conv_id"), "turn",
                             F.coalesce("role", F.lit("unknown")).alias("role"),
                             F.coalesce("text", F.lit("")).alias("text"))
                .repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text"))
-    return ordered.mapInPandas(run, SEGMENTS)
+    return ordered.mapInArrow(run, SEGMENTS)
 
 
 def parse_turns(stream: str, template: Template) -> tuple[list[tuple[str, str]], str]:
@@ -118,7 +132,7 @@ def parse_turns(stream: str, template: Template) -> tuple[list[tuple[str, str]],
         end = stream.find(template.close, name_end + len(tail))
         if name_end < 0 or end < 0:
             break
-        role = template.unescape(stream[at + len(head):name_end].replace(template.escape_char + "n", "\n"))
+        role = template.unescape_name(stream[at + len(head):name_end])
         turns.append((role, template.unescape(stream[name_end + len(tail):end])))
         at = end + len(template.close)
     return turns, stream[at:]
@@ -131,7 +145,7 @@ DIGESTS = ("conv_id long, n_turns long, turns_sha256 string, loss_chars long, lo
 def chat_digests(segments: DataFrame, template: Template = Template()) -> DataFrame:
     """What the formatted text of each conversation reads back as.  Takes
     :func:`format_chat`'s rows where they lie (nothing moves again)."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         conv, s = object(), None
 
         def row():
@@ -141,7 +155,7 @@ def chat_digests(segments: DataFrame, template: Template = Template()) -> DataFr
 
         for b in batches:
             out = []
-            for c, segs, valid in zip(b["conv_id"].astype(object).where(b["conv_id"].notna(), None), b["segments"], b["valid"]):
+            for c, segs, valid in zip(*(b.column(x).to_pylist() for x in ("conv_id", "segments", "valid"))):
                 if c != conv:
                     if s is not None:
                         out.append(row())
@@ -149,7 +163,7 @@ def chat_digests(segments: DataFrame, template: Template = Template()) -> DataFr
                                   "all": 0, "valid": True, "rest": ""}
                 piece = "".join(x["text"] for x in segs)
                 s["all"] += len(piece)
-                s["valid"] = bool(valid)
+                s["valid"] = valid
                 got, s["rest"] = parse_turns(s["rest"] + piece, template)
                 for role, text in got:
                     s["n"] += 1
@@ -159,11 +173,12 @@ def chat_digests(segments: DataFrame, template: Template = Template()) -> DataFr
                         plain = template.unescape(x["text"])
                         s["chars"] += len(plain)
                         s["loss"].update(plain.encode())
-            yield pd.DataFrame(out, columns=_COLS).astype({"conv_id": "Int64"})
+            yield _batch(out, _DIGESTS)
         if s is not None:
-            yield pd.DataFrame([row()], columns=_COLS).astype({"conv_id": "Int64"})
+            yield _batch([row()], _DIGESTS)
 
-    return segments.mapInPandas(run, DIGESTS)
+    return segments.mapInArrow(run, DIGESTS)
 
 
-_COLS = [x.split()[0] for x in DIGESTS.split(", ")]
+_ARROW = {"long": pa.int64(), "string": pa.string(), "boolean": pa.bool_()}
+_DIGESTS = pa.schema([(name, _ARROW[kind]) for name, kind in (x.split() for x in DIGESTS.split(", "))])

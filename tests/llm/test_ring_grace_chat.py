@@ -91,8 +91,10 @@ def test_chat_round_trip(spark):
     turns = [(c, t, role, nasty[(c + 3 * t) % len(nasty)]) for c in range(30)
              for t, role in enumerate(["system", "user", "assistant", "user", "assistant"])]
     turns += [(99, 0, "assistant", "first"), (99, 1, None, "none"), (99, 1, "odd\nrole", "x"), (None, 0, "user", "hi")]
+    turns += [(98, 0, role, "x") for role in ("back\\nslash", "\\", "\\\n", "<|im_end|>\nn", "\\\\n\n")]
+    turns += [((1 << 60) + i, 0, "user", f"far {i}") for i in range(3)]  # in a batch with a null id
     df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").withColumn("segments", F.lit(1))
-    got = {r.conv_id: r for r in chat.chat_digests(chat.format_chat(df.repartition(3))).collect()}
+    got = {r.conv_id: r for r in chat.chat_digests(chat.format_chat(df.coalesce(1))).collect()}
     for c in {t[0] for t in turns}:
         r = got[c]
         assert (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) == _chat_reference([t for t in turns if t[0] == c])
