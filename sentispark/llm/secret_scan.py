@@ -42,6 +42,8 @@ TOKEN = r"[A-Za-z0-9+/_=-]{16,}"
 WORD = r"[A-Za-z0-9+/_=-]{8,}"
 CODES = 128
 _SPAN = "array<struct<start: long, kind: int, end: long>>"
+#: Matches whose spans are gathered in one growing array; texts with more go block by block.
+SPAN_BLOCK = 256
 
 
 def _spans(text: Column, pattern: str, kind: int, keep, value_group: int = 0) -> Column:
@@ -57,11 +59,35 @@ def _spans(text: Column, pattern: str, kind: int, keep, value_group: int = 0) ->
         return F.struct(end.alias("at"), F.when(p["whole"].isNotNull() & keep(p["value"], p["whole"]),
                                                 F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
 
-    first = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(_SPAN).alias("out"))
-    found = F.aggregate(parts, first, step, lambda acc: acc["out"])
+    def spans(some: Column, at: Column) -> Column:
+        first = F.struct(at.cast("long").alias("at"), F.array().cast(_SPAN).alias("out"))
+        return F.aggregate(some, first, step, lambda acc: acc["out"])
+
+    def length(some: Column) -> Column:
+        return F.aggregate(some, F.lit(0).cast("long"),
+                           lambda n, p: n + F.length(p["gap"]) + F.coalesce(F.length(p["whole"]), F.lit(0)))
+
+    def by_blocks(all_: Column) -> Column:
+        last = F.floor((F.size(all_) - 1) / SPAN_BLOCK).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(all_, i * SPAN_BLOCK + 1, F.lit(SPAN_BLOCK)))
+        return _bound(blocks, lambda bs: F.flatten(F.zip_with(bs, _starts(F.transform(bs, length)), spans)))
+
+    found = _bound(parts, lambda p: F.when(F.size(p) <= SPAN_BLOCK, spans(p, F.lit(0))).otherwise(by_blocks(p)))
     return F.when(text.rlike(pattern), found).otherwise(F.array().cast(_SPAN))
 
 
+def _bound(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once, however often ``body`` names it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _starts(lengths: Column) -> Column:
+    """Where each of consecutive pieces starts."""
+    first = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<long>").alias("out"))
+    return F.aggregate(lengths, first, lambda acc, n: F.struct(
+        (acc["at"] + n).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")), lambda acc: acc["out"])
+
+
 def base_spans(text: Column) -> list[Column]:
     """Arrays of spans, one for each of ``KINDS``."""
     return [_spans(text, _SCAN[name], i, lambda v, m, least=least: F.length(v) >= least, group)

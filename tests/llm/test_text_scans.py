@@ -98,6 +98,16 @@ def test_secret_spans(spark, make_docs):
         assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(k == j for _, k, _ in want) for j in range(3))
 
 
+def test_texts_of_many_spans(make_docs):
+    """Spans go block by block; sizes round the block's are the edges."""
+    rnd = random.Random(6)
+    rows = [(n, "é ".join(rnd.choice(["deadbeef", "token=abc "]) * 2 + "0123456789abcdef" for _ in range(n)) + "x" * (n % 2))
+            for n in (254, 255, 256, 257, 511, 512, 513, 20_000)]
+    got = {r.doc_id: r for r in S.secret_digests(S.scan_secrets(make_docs(rows), [0.0] * S.CODES ** 2)).collect()}
+    for i, t in rows:
+        assert got[i].spans == ",".join(f"{S.KINDS[k][0]}:{a}:{b}" for a, k, b in _secret_reference(t))
+
+
 def test_markov_adds_random_strings(spark, make_docs):
     docs = spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "text")
     ratios = S.train_markov(docs)
