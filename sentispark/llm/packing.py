@@ -50,22 +50,25 @@ _ENCODERS: dict = {}
 def encoder(path: str):
     """Text -> ids (numpy) of a byte-level BPE file of the ``tokenizers`` library.  The
     file's vocabulary is run by tiktoken's merge loop (same ids, a third of the
-    CPU); strings of special tokens are ordinary text."""
+    CPU).  The file's added tokens get their own ids where a text holds them, as the library does."""
     if path not in _ENCODERS:
         import tiktoken
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        special = {t["content"] for t in spec.get("added_tokens", ())}
+        added = spec.get("added_tokens", ())
+        if any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in added):
+            raise ValueError("added tokens that depend on what stands around them are not supported")
+        special = {t["content"]: t["id"] for t in sorted(added, key=lambda t: -len(t["content"]))}
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in set(shown)]
         byte_of = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
         ranks = {bytes(byte_of[c] for c in tok): i for tok, i in spec["model"]["vocab"].items() if tok not in special}
-        if max(ranks.values()) > 0xFFFF:
+        if max(*ranks.values(), *special.values()) > 0xFFFF:
             raise ValueError("token ids are kept in 16 bits")
         _ENCODERS[path] = tiktoken.Encoding(path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
-                                            special_tokens={})
+                                            special_tokens=special)
     enc = _ENCODERS[path]
-    return lambda text: enc.encode_to_numpy(text, allowed_special=set(), disallowed_special=())
+    return lambda text: enc.encode_to_numpy(text, allowed_special="all")
 
 
 _TOKENS = "doc_id long, source string, pid int, start long, n long, ids binary"

@@ -43,11 +43,21 @@ DATE = "2020-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
+# Names that Hadoop has for schemes that Arrow knows under another one.
+SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
+def arrow_uri(uri: str) -> str:
+    """A Hadoop-style URI as Arrow writes it: local paths bare, other schemes by Arrow's names."""
+    if uri.startswith("file:"):
+        return "/" + uri[len("file:"):].lstrip("/")
+    scheme, colon, rest = uri.partition("://")
+    return SCHEMES.get(scheme, scheme) + colon + rest
+
+
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
     """File system and path of a Hadoop-style URI."""
-    if uri.startswith("file:"):
-        uri = uri[len("file:"):]
-        uri = "/" + uri.lstrip("/")
+    uri = arrow_uri(uri)
     return pafs.FileSystem.from_uri(uri) if ":" in uri.split("/")[0] else (pafs.LocalFileSystem(), uri)
 
 
