@@ -38,7 +38,18 @@ def written(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame
     scans read only the columns asked for."""
     path = shared_folder(df.sparkSession, label)
     df.write.parquet(path, compression=compression)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.written_to = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by :func:`written`, before the application ends.  Only for tables that
+    nothing still to run reads: what was made from them has been written itself."""
+    for table in tables:
+        spark = table.sparkSession
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table.written_to)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def text_or_empty(name: str = "text"):

@@ -2,7 +2,7 @@
 
 Each round is an aggregation and a join over the edge table; no component or
 neighbourhood is ever gathered in one place.  Edges are written to the shared
-folder after each round, so a lost executor costs one round at most.
+folder after each round, so a lost executor costs one round at most; the round before goes then.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sentispark.llm.common import written
+from sentispark.llm.common import discard, written
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -34,7 +34,8 @@ def components(pairs: DataFrame) -> DataFrame:
     edges = written(pairs.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     seen = None
     while True:
-        edges = written(_star(_star(edges, True), False), "edges")
+        before, edges = edges, written(_star(_star(edges, True), False), "edges")
+        discard(before)
         # all edges of a star forest point at roots, and the next round leaves them as they are
         now = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if now == seen:

@@ -15,11 +15,12 @@ The result is exact; hashes of 64 bits stand for shingles.
    ``ROUNDS`` more rounds do the same round other leaders where a group still holds several.  A group of copies costs as many
    pairs as it has members.
 4. *Tiles.*  Only groups that still hold several components need more.  Up to ``SMALL`` members
-   are paired at once.  The members of larger groups, sorted by size, are cut into
+   are paired at once, under bitmaps of ``SMALL_BITS``.  The members of larger groups, sorted by size, are cut into
    blocks, and blocks of compatible sizes meet in tiles of bounded size, spread over tasks.  In a
    tile, sizes, prefix positions and then bitmaps rule pairs out: a set's signature is the parity
    of its hashes over 2048 bits, so the bits in which two differ are at most |A ^ B| and bound the
    overlap from above.
+   Stars pass the smaller bitmaps, too, before any set is fetched; they are made with the sets.
 5. *Verification* of what is left: the bitmap bound again, then the intersection of the
    sorted arrays, which are made anew for the sets in question only; and components.
 
@@ -40,11 +41,13 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sentispark.llm.common import broadcast_if_small, text_or_empty, written
+from sentispark.llm.common import broadcast_if_small, discard, text_or_empty, written
 from sentispark.llm.components import components
 from sentispark.llm.shingles import WordHashes, shingle_sets
 
 BITS = 2048
+#: Bits of the smaller signatures that travel with stars and small groups.
+SMALL_BITS = 512
 BLOCK = 1024
 SMALL = 64
 SHARED = 3
@@ -65,9 +68,21 @@ def prefix_length(n):
     return min(n, n - -(-3 * n // 4) + SHARED)
 
 
-def signature(values: np.ndarray) -> np.ndarray:
+def signature(values: np.ndarray, bits: int = BITS) -> np.ndarray:
     """Parity bitmap, as uint8 bytes."""
-    return np.packbits((np.bincount(values & (BITS - 1), minlength=BITS) & 1).astype(np.uint8))
+    return np.packbits((np.bincount(values & (bits - 1), minlength=bits) & 1).astype(np.uint8))
+
+
+def bitmaps(column) -> np.ndarray:
+    """Signatures of many sets, a row each."""
+    held = column if isinstance(column, list) else column.to_pylist()
+    return np.frombuffer(b"".join(held), np.uint64).reshape(len(held), -1)
+
+
+def within_bound(n, bits_n, m, bits_m) -> np.ndarray:
+    """Sets of sizes n and m may overlap enough, by their bitmaps."""
+    apart = np.bitwise_count(bits_n ^ bits_m).sum(1, dtype=np.int64)
+    return n + m - apart >= 2 * need(n, m)
 
 
 def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -102,25 +117,26 @@ def frequent_shingles(docs: DataFrame, words: int, chunk: int = 2_000_000, local
 
 
 def _sets(docs: DataFrame, words: int, frequent: np.ndarray) -> DataFrame:
-    """``doc_id, n, digest, prefix``: the set's size and identity, and the first shingles."""
+    """``doc_id, n, digest, bits, prefix``: the set's size, identity and small signature, and the first shingles."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
                 b = whole.slice(at, 1000)
-                sizes, digests, prefixes = [], [], []
+                sizes, digests, bits, prefixes = [], [], [], []
                 for s in shingle_sets(b.column(1).to_pylist(), cache, words):
                     sizes.append(len(s))
                     digests.append(xxhash.xxh3_128_digest(s.tobytes()))
+                    bits.append(signature(s, SMALL_BITS).tobytes())
                     if len(s) and len(frequent):
                         last = frequent[np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)] == s
                         s = np.concatenate([s[~last], s[last]])
                     prefixes.append(s[:prefix_length(len(s))].tobytes() if len(s) else b"")
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(prefixes, pa.binary())],
-                    names=["doc_id", "n", "digest", "prefix"])
+                    [b.column(0), pa.array(sizes, pa.int64()), *(pa.array(x, pa.binary()) for x in (digests, bits, prefixes))],
+                    names=["doc_id", "n", "digest", "bits", "prefix"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, digest binary, prefix binary")
+    return docs.mapInArrow(run, "doc_id long, n long, digest binary, bits binary, prefix binary")
 
 
 def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,6 +224,19 @@ def linked(a: bytes, bits_a: bytes, b: bytes, bits_b: bytes) -> bool:
     return len(np.intersect1d(x, y, assume_unique=True)) >= least
 
 
+def _possible(pairs: DataFrame, bits: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` that small signatures (``rep, n, bits``) allow; narrow rows, no sets."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                ok = within_bound(b.column(2).to_numpy(), bitmaps(b.column(4)), b.column(3).to_numpy(), bitmaps(b.column(5)))
+                yield pa.RecordBatch.from_arrays([c.filter(pa.array(ok)) for c in b.columns[:2]], names=["a", "b"])
+
+    left = bits.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("bits").alias("ba"))
+    right = bits.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bb"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "ba", "bb").mapInArrow(run, "a long, b long")
+
+
 def verified(pairs: DataFrame, signed: DataFrame) -> DataFrame:
     """The pairs ``a, b`` that link."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,7 +257,7 @@ def tile_pairs(x: pd.DataFrame, y: pd.DataFrame | None) -> tuple[np.ndarray, np.
     within = y is None
     y = x if within else y
     (na, pa_), (nb, pb) = (((p := d["place"].to_numpy()) >> 32, p & 0xFFFFFFFF) for d in (x, y))
-    bits_a, bits_b = (np.frombuffer(b"".join(d["bits"]), np.uint64).reshape(len(d), -1) for d in (x, y))
+    bits_a, bits_b = (bitmaps(d["bits"].tolist()) for d in (x, y))
     comp_a, comp_b, rep_a, rep_b = x["comp"].to_numpy(), y["comp"].to_numpy(), x["rep"].to_numpy(), y["rep"].to_numpy()
     out_a, out_b, out_least = [], [], []
     for i in range(len(x)):
@@ -237,8 +266,7 @@ def tile_pairs(x: pd.DataFrame, y: pd.DataFrame | None) -> tuple[np.ndarray, np.
             ok[:i + 1] = False
         j = np.flatnonzero(ok)
         if len(j):
-            apart = np.bitwise_count(bits_b[j] ^ bits_a[i]).sum(1, dtype=np.int64)
-            j = j[na[i] + nb[j] - apart >= 2 * need(na[i], nb[j])]
+            j = j[within_bound(na[i], bits_a[i], nb[j], bits_b[j])]
             out_a.append(np.full(len(j), rep_a[i]))
             out_b.append(rep_b[j])
             out_least.append(np.minimum(SHARED, need(na[i], nb[j])))
@@ -247,12 +275,12 @@ def tile_pairs(x: pd.DataFrame, y: pd.DataFrame | None) -> tuple[np.ndarray, np.
 
 
 def _small_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows ``h, place, rep, comp`` sorted by group, groups of at most ``SMALL`` rows -> possible
+    """Rows ``h, place, rep, comp, bits`` sorted by group, groups of at most ``SMALL`` rows -> possible
     pairs ``a, b, least`` (shingles they must share in their prefixes), once a shingle."""
     held = None
     for batch in batches:
-        rows = [c.to_numpy() for c in batch.columns]
-        if held is not None:
+        rows = [*(c.to_numpy() for c in batch.columns[:4]), bitmaps(batch.column(4)) if batch.num_rows else None]
+        if held is not None and batch.num_rows:
             rows = [np.concatenate(x) for x in zip(held, rows)]
         if not len(rows[0]):
             continue
@@ -263,16 +291,18 @@ def _small_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _pairs_within(*held)
 
 
-def _pairs_within(h, place, rep, comp) -> pa.RecordBatch:
+def _pairs_within(h, place, rep, comp, bits) -> pa.RecordBatch:
     n, pos = place >> 32, place & 0xFFFFFFFF
     out = [[], [], []]
-    for d in range(1, SMALL):
+    for d in range(1, len(h)):
         same = np.flatnonzero(h[d:] == h[:-d])
         if not len(same):
             break
         i, j = same, same + d
         ok = (comp[i] != comp[j]) & could_link(n[i], pos[i], n[j], pos[j])
         i, j = i[ok], j[ok]
+        ok = within_bound(n[i], bits[i], n[j], bits[j])
+        i, j = i[ok], j[ok]
         out[0].append(np.minimum(rep[i], rep[j]))
         out[1].append(np.maximum(rep[i], rep[j]))
         out[2].append(np.minimum(SHARED, need(n[i], n[j])))
@@ -332,10 +362,12 @@ def _signed_of(texts: DataFrame, ids: DataFrame, words: int, label: str = "signe
     return written(_signed(texts.join(ids, texts["doc_id"] == ids["rep"], "left_semi"), words), label)
 
 
-def _owned(groups: DataFrame, label: DataFrame) -> DataFrame:
-    """Postings with their set's component so far."""
-    return written(groups.select("h", "place", "rep").join(label, groups["rep"] == label["node"], "left").select(
-        "h", "place", "rep", F.coalesce("component", "rep").alias("comp")), "owned")
+def _owned(rows: DataFrame, label: DataFrame) -> DataFrame:
+    """Postings of the groups that still hold several components, with their set's component so far."""
+    marked = rows.select("h", "place", "rep").join(label, F.col("rep") == label["node"], "left").select(
+        "h", "place", "rep", F.coalesce("component", "rep").alias("comp"))
+    still = marked.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("h")
+    return written(marked.join(still, "h", "left_semi"), "owned")
 
 
 def _other_stars(owned: DataFrame, number: int) -> DataFrame:
@@ -360,48 +392,64 @@ def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("rep")).unionAll(pairs.select(F.col("b").alias("rep"))).distinct()
 
 
+def _links(texts: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
+    """The pairs of a written table that link, as a table; the pairs and the sets made for them go."""
+    signed = _signed_of(texts, _ends(pairs), words)
+    links = written(verified(pairs, signed), "links")
+    discard(pairs, signed)
+    return links
+
+
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5,
                        block: int = BLOCK, small: int = SMALL) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row (smallest doc_id reachable by links)."""
     texts = _texts(docs, key, text)
     frequent = frequent_shingles(texts, words)
     sets = written(_sets(texts, words, frequent), "sets")
-    some = sets.where("n > 0 and doc_id is not null")
+    narrow = written(sets.drop("prefix"), "sizes")
+    some = narrow.where("n > 0 and doc_id is not null")
     classes = some.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("rows"))
     member = written(some.select("doc_id", "digest").join(classes.where("rows > 1"), "digest", "left")
-                     .select("doc_id", F.coalesce("rep", "doc_id").alias("rep")), "classes")
-    copies = broadcast_if_small(member.where("doc_id <> rep").select("doc_id").distinct(), BROADCAST_IDS)
-    reps = some.join(copies, "doc_id", "left_anti").select(F.col("doc_id").alias("rep"), "n", "prefix")
+                     .select("doc_id", F.coalesce("rep", "doc_id").alias("rep"),
+                             F.when(F.col("doc_id") != F.col("rep"), F.col("digest")).alias("digest")),
+                     "classes")
+    # by id and set: a repeated id may be a copy with one text and stand for itself with another
+    copies = broadcast_if_small(member.where("digest is not null").select("doc_id", "digest").distinct(), BROADCAST_IDS)
+    reps = (sets.where("n > 0 and doc_id is not null").join(copies, ["doc_id", "digest"], "left_anti")
+            .select(F.col("doc_id").alias("rep"), "n", "prefix"))
+    bits = some.join(copies, ["doc_id", "digest"], "left_anti").select(F.col("doc_id").alias("rep"), "n", "bits")
     postings = reps.mapInArrow(_postings, "h long, place long, rep long")
     groups = written(postings.repartition("h").sortWithinPartitions("h", "place", "rep")
                      .mapInArrow(_lead, "h long, place long, rep long, leader long, least long"), "groups")
+    discard(sets)
 
-    stars = written(_enough(groups.where("leader is not null").select(
-        F.col("leader").alias("a"), F.col("rep").alias("b"), "least")), "stars")
-    first = written(verified(stars, _signed_of(texts, _ends(stars), words)), "links")
-    label = components(first)
+    stars = written(_possible(_enough(groups.where("leader is not null").select(
+        F.col("leader").alias("a"), F.col("rep").alias("b"), "least")), bits), "stars")
+    label = components(_links(texts, stars, words))
 
     owned = _owned(groups, label)
+    discard(groups)
     for number in range(1, ROUNDS + 1):
-        stars = written(_enough(_other_stars(owned, number)), "stars")
+        stars = written(_possible(_enough(_other_stars(owned, number)), bits), "stars")
         if not stars.limit(1).count():
             break
-        first = verified(stars, _signed_of(texts, _ends(stars), words))
-        label = components(label.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(first))
-        owned = _owned(groups, label)
-    still = (owned.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("rows"))
-             .where("lo < hi"))
-    few = (owned.join(still.where(F.col("rows") <= small).select("h"), "h", "left_semi").select("h", "place", "rep", "comp")
+        label = components(label.select(F.col("node").alias("a"), F.col("component").alias("b"))
+                           .unionAll(_links(texts, stars, words)))
+        before, owned = owned, _owned(owned, label)
+        discard(before)
+    size = owned.groupBy("h").agg(F.count(F.lit(1)).alias("rows"))
+    few = (owned.join(size.where(F.col("rows") <= small).select("h"), "h", "left_semi").join(bits.select("rep", "bits"), "rep")
+           .select("h", "place", "rep", "comp", "bits")
            .repartition("h").sortWithinPartitions("h", "place", "rep").mapInArrow(_small_pairs, "a long, b long, least long"))
-    many = written(owned.join(still.where(F.col("rows") > small).select("h"), "h", "left_semi")
+    many = written(owned.join(size.where(F.col("rows") > small).select("h"), "h", "left_semi")
                    .select("h", "place", "rep", "comp"), "large")
-    bits = _signed_of(texts, many.select("rep").distinct(), words).select("rep", "bits")
-    rest = written(_enough(few.unionAll(_tiles(many.join(bits, "rep"), block))), "pairs")
-    more = written(verified(rest, _signed_of(texts, _ends(rest), words)), "links")
+    large_bits = _signed_of(texts, many.select("rep").distinct(), words).select("rep", "bits")
+    rest = written(_possible(_enough(few.unionAll(_tiles(many.join(large_bits, "rep"), block))), bits), "pairs")
+    more = _links(texts, rest, words)
     final = components(label.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more))
     # rows that share a doc_id share a component: their classes hang together by the id
     node = _with_repeats(member, final).select(F.col("node").alias("__node"), F.col("component").alias("__component"))
-    return (sets.select("doc_id", "n").join(node, F.col("doc_id") == F.col("__node"), "left")
+    return (narrow.select("doc_id", "n").join(node, F.col("doc_id") == F.col("__node"), "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.coalesce("__component", "doc_id").alias("component_id")))
 

@@ -68,6 +68,10 @@ def test_jaccard_null_and_repeated_ids(make_docs):
     rows = [(1, "a b c d e f"), (2, "a b c d e f"), (2, "g h i j k l"), (5, "g h i j k l"), (None, "a b c d e f"), (9, None)]
     got = {(r.doc_id, r.component_id) for r in jaccard.jaccard_components(make_docs(rows)).collect()}
     assert got == {(1, 1), (2, 1), (5, 1), (None, None), (9, 9)}
+    a, b = " ".join(f"a{i}" for i in range(25)), " ".join(f"b{i}" for i in range(25))
+    rows = [(3, a), (5, a), (5, b), (5, b), (7, b + " more"), (8, "b0 b1 b2 b3 b4 x"), (11, a + " z"), (12, b), (12, "alone is this text here")]
+    got = {(r.doc_id, r.component_id) for r in jaccard.jaccard_components(make_docs(rows)).collect()}
+    assert got == {(3, 3), (5, 3), (7, 3), (8, 8), (11, 3), (12, 3)}
     assert jaccard.jaccard_components(make_docs(rows).limit(0)).count() == 0
 
 
@@ -80,6 +84,26 @@ def test_bitmap_bound_holds():
         assert len(np.intersect1d(a, b)) <= (len(a) + len(b) - apart) // 2
 
 
+def test_small_groups_list_what_bitmaps_allow():
+    """Pairs of small groups: all that link, few that do not, whatever the batches."""
+    import pyarrow as pa
+    rnd = np.random.default_rng(4)
+    base = rnd.integers(-2 ** 62, 2 ** 62, (3, 90))
+    sets = [np.unique(np.concatenate([base[k % 3][rnd.random(90) < 0.97], rnd.integers(-2 ** 62, 2 ** 62, rnd.integers(0, 5))]))
+            for k in range(30)]
+    rows = sorted((h, (len(s) << 32) | h % 3, i, i, jaccard.signature(s, jaccard.SMALL_BITS).tobytes())
+                  for i, s in enumerate(sets) for h in range(4))
+    want = {(i, j) for i in range(30) for j in range(i + 1, 30)
+            if 7 * len(np.intersect1d(sets[i], sets[j])) >= 3 * (len(sets[i]) + len(sets[j]))}
+    for size in (1000, 7, 1):
+        parts = [pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in list(zip(*part))[:4]), pa.array([r[4] for r in part], pa.binary())],
+                                            names=["h", "place", "rep", "comp", "bits"])
+                 for part in (rows[i:i + size] for i in range(0, len(rows), size))]
+        got = [tuple(r) for b in jaccard._small_pairs(iter(parts)) for r in zip(*(c.to_pylist() for c in b.columns[:2]))]
+        assert want <= set(got) and len(set(got) - want) <= 10
+        assert len(got) == 4 * len(set(got))
+
+
 def test_leaders_carry_over_batches():
     import pyarrow as pa
     rnd = random.Random(2)
@@ -106,7 +130,6 @@ def test_components_of_a_path(spark):
 def _check_packing(got, texts, window=2048):
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(packing.VOCABULARY)
-    tok.encode_special_tokens = True
     by_doc, by_seq = {}, {}
     for r in got:
         by_doc.setdefault(r.doc_id, []).append(r)
@@ -270,6 +293,13 @@ def test_warc_round_trip(spark):
     assert warc.round_trip(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("uri,want", [
+    ("file:///a/b c", "/a/b c"), ("file:/a", "/a"), ("/a/b", "/a/b"), ("s3a://bucket/a:b", "s3://bucket/a:b"),
+    ("s3n://bucket", "s3://bucket"), ("hdfs://host:8020/a", "hdfs://host:8020/a")])
+def test_folder_uris(uri, want):
+    assert warc.arrow_uri(uri) == want
+
+
 def test_pipeline_stages_take_effect(spark):
     docs = spark.read.parquet(f"{SF001}/documents.parquet").withColumn("component_id", F.lit(1))
     bench = spark.read.parquet(f"{SF001}/benchmark.parquet").first().text
