@@ -12,7 +12,8 @@ The result is exact; hashes of 64 bits stand for shingles.
    whole least overlap, if that is smaller), which one common phrase does not reach.
 3. *Stars.*  In each shingle's group, sorted by size, members pair with one leader
    of their size band.  Pairs met under ``SHARED`` shingles are verified and give first components;
-   ``ROUNDS`` more rounds do the same round other leaders where a group still holds several.  A group of copies costs as many
+   more rounds do the same round other leaders where a group still holds several, and go on where the last
+   one has linked something (at most ``ROUNDS``).  A group of copies costs as many
    pairs as it has members.
 4. *Tiles.*  Only groups that still hold several components need more.  Up to ``SMALL`` members
    are paired at once, under bitmaps of ``SMALL_BITS``.  The members of larger groups, sorted by size, are cut into
@@ -51,8 +52,8 @@ SMALL_BITS = 512
 BLOCK = 1024
 SMALL = 64
 SHARED = 3
-#: Rounds of stars round other leaders, before tiles.
-ROUNDS = 2
+#: Most rounds of stars round other leaders, before tiles, which settle whatever is left.
+ROUNDS = 10
 #: Most frequent shingles that sort last, at most so many (8 bytes each travel to the tasks).
 FREQUENT = 1 << 17
 #: Doc ids (8 bytes) are broadcast up to here, joined by shuffle beyond.
@@ -427,16 +428,22 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
         F.col("leader").alias("a"), F.col("rep").alias("b"), "least")), bits), "stars")
     label = components(_links(texts, stars, words))
 
-    owned = _owned(groups, label)
+    opened = _owned(groups, label)
     discard(groups)
+    rows = opened
     for number in range(1, ROUNDS + 1):
-        stars = written(_possible(_enough(_other_stars(owned, number)), bits), "stars")
-        if not stars.limit(1).count():
+        stars = written(_possible(_enough(_other_stars(rows, number)), bits), "stars")
+        links = _links(texts, stars, words)
+        if not links.limit(1).count():
             break
-        label = components(label.select(F.col("node").alias("a"), F.col("component").alias("b"))
-                           .unionAll(_links(texts, stars, words)))
-        before, owned = owned, _owned(owned, label)
-        discard(before)
+        label = components(label.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(links))
+        # the next leaders are tried where this round's have linked something
+        joined = rows.join(_ends(links), "rep", "left_semi").select("h").distinct()
+        before, rows = rows, _owned(rows.join(joined, "h", "left_semi"), label)
+        if number > 1:
+            discard(before)
+    owned = _owned(opened, label)
+    discard(opened)
     size = owned.groupBy("h").agg(F.count(F.lit(1)).alias("rows"))
     few = (owned.join(size.where(F.col("rows") <= small).select("h"), "h", "left_semi").join(bits.select("rep", "bits"), "rep")
            .select("h", "place", "rep", "comp", "bits")
