@@ -2,96 +2,83 @@
 table: multinomial and Bernoulli naive Bayes (M11, M12), nearest centroid
 (M17) and the lexicon polarity baseline (M22).
 
-Training is a handful of group-bys; scoring joins a document's terms with the
+Training is one group-by over the training rows (class sums beside the vocabulary
+counts); totals are one row, read once and used as literals.  Scoring joins a document's terms with the
 per-term weight table (vocabulary-sized, so broadcast under the vocabulary
 bound) and sums per document.  No vector ever has to fit on one machine.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sentispark.session import write_once
 
 
-def _priors(labels: DataFrame, label: str = "label") -> DataFrame:
-    """One row: log prior odds ln(n1/n0) and class counts."""
-    return labels.agg(F.count_if(F.col(label) == 0).alias("n0"), F.count_if(F.col(label) == 1).alias("n1"))
+def class_sums(label: str = "label") -> tuple[Column, ...]:
+    """Aggregates of a term over training counts: occurrences ``c0, c1`` and documents ``d0, d1`` by class."""
+    def of(c, value):
+        return F.sum(F.when(F.col(label) == c, value).otherwise(0))
+    return (*[of(c, F.col("tf")).alias(f"c{c}") for c in (0, 1)], *[of(c, F.lit(1)).alias(f"d{c}") for c in (0, 1)])
 
 
-def multinomial_nb_fit(counts: DataFrame, labels: DataFrame, vocab: DataFrame, alpha: float = 1.0,
-                       key: str = "row_id", label: str = "label") -> tuple[DataFrame, DataFrame]:
-    """M11 fit on training counts ``(row_id, term, tf)``.  Returns per-term
-    log-likelihood ratio ``w = ln P(t|1) - ln P(t|0)`` and the bias row."""
-    v = vocab.select("term")
-    n_v = v.agg(F.count(F.lit(1)).alias("V"))
-    per = (counts.join(labels.select(key, label), key)
-           .groupBy("term").agg(F.sum(F.when(F.col(label) == 0, F.col("tf")).otherwise(0)).alias("c0"),
-                                F.sum(F.when(F.col(label) == 1, F.col("tf")).otherwise(0)).alias("c1")))
-    per = v.join(per, "term", "left").na.fill(0, ["c0", "c1"])
-    tot = per.agg(F.sum("c0").alias("tok0"), F.sum("c1").alias("tok1")).crossJoin(n_v)
-    pri = _priors(labels, label)
-    bias = tot.crossJoin(pri).select(
-        (F.log(F.col("n1") / F.col("n0"))).alias("bias"), "tok0", "tok1", "V")
-    w = (per.crossJoin(F.broadcast(bias))
-         .select("term", (F.log((F.col("c1") + alpha) / (F.col("tok1") + alpha * F.col("V")))
-                          - F.log((F.col("c0") + alpha) / (F.col("tok0") + alpha * F.col("V")))).alias("w")))
-    return w, bias.select("bias")
+def class_sizes(labels: DataFrame, label: str = "label") -> tuple[int, int]:
+    """Training documents of class 0 and 1: one row, read once."""
+    row = labels.agg(F.count_if(F.col(label) == 0).alias("n0"), F.count_if(F.col(label) == 1).alias("n1")).first()
+    return row.n0, row.n1
 
 
-def linear_score(counts: DataFrame, weights: DataFrame, bias: DataFrame, docs: DataFrame,
+def _log_odds(sizes: tuple[int, int]) -> Column:
+    return F.log(F.lit(sizes[1]) / F.lit(sizes[0]))
+
+
+def multinomial_nb_fit(vocab: DataFrame, sizes: tuple[int, int], alpha: float = 1.0) -> tuple[DataFrame, Column]:
+    """M11 fit on a vocabulary with :func:`class_sums` (a table, read twice).  Returns the term's
+    log-likelihood ratio ``w = ln P(t|1) - ln P(t|0)`` and the bias."""
+    tot = vocab.agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1"), F.count(F.lit(1)).alias("V")).first()
+
+    def log_p(c):
+        return F.log((F.col(c) + alpha) / F.lit((tot[c] or 0) + alpha * tot.V))
+    return vocab.select("term", (log_p("c1") - log_p("c0")).alias("w")), _log_odds(sizes)
+
+
+def linear_score(counts: DataFrame, weights: DataFrame, bias: Column, docs: DataFrame,
                  value: str = "tf", key: str = "row_id") -> DataFrame:
     """Score = bias + sum(value * w) per document; documents with no known
     term get the bias alone.  ``docs`` lists every document to score."""
     s = counts.join(weights, "term").groupBy(key).agg(F.sum(F.col(value) * F.col("w")).alias("__s"))
-    return (docs.join(s, key, "left").crossJoin(F.broadcast(bias))
-            .withColumn("score", F.col("bias") + F.coalesce("__s", F.lit(0.0)))
-            .drop("__s", "bias"))
+    return docs.join(s, key, "left").withColumn("score", bias + F.coalesce("__s", F.lit(0.0))).drop("__s")
 
 
-def bernoulli_nb_fit(presence: DataFrame, labels: DataFrame, vocab: DataFrame, alpha: float = 1.0,
-                     key: str = "row_id", label: str = "label") -> tuple[DataFrame, DataFrame]:
-    """M12 fit on distinct training (row_id, term) pairs.
+def bernoulli_nb_fit(vocab: DataFrame, sizes: tuple[int, int], alpha: float = 1.0) -> tuple[DataFrame, Column]:
+    """M12 fit on a vocabulary with :func:`class_sums` (a table, read twice).
     ``w = ln(p1/(1-p1)) - ln(p0/(1-p0))`` for present terms, and the bias
     holds the prior odds plus the sum of ``ln((1-p1)/(1-p0))`` over the vocabulary."""
-    v = vocab.select("term")
-    per = (presence.join(labels.select(key, label), key)
-           .groupBy("term").agg(F.count_if(F.col(label) == 0).alias("d0"),
-                                F.count_if(F.col(label) == 1).alias("d1")))
-    per = v.join(per, "term", "left").na.fill(0, ["d0", "d1"])
-    pri = _priors(labels, label)
-    p = per.crossJoin(F.broadcast(pri)).select(
-        "term", ((F.col("d0") + alpha) / (F.col("n0") + 2 * alpha)).alias("p0"),
-        ((F.col("d1") + alpha) / (F.col("n1") + 2 * alpha)).alias("p1"))
+    p = vocab.select("term", *[((F.col(f"d{c}") + alpha) / F.lit(sizes[c] + 2 * alpha)).alias(f"p{c}") for c in (0, 1)])
     w = p.select("term", (F.log(F.col("p1") / (1 - F.col("p1"))) - F.log(F.col("p0") / (1 - F.col("p0")))).alias("w"))
-    absent = p.agg(F.sum(F.log((1 - F.col("p1")) / (1 - F.col("p0")))).alias("a"))
-    bias = absent.crossJoin(pri).select((F.col("a") + F.log(F.col("n1") / F.col("n0"))).alias("bias"))
-    return w, bias
+    absent = p.agg(F.sum(F.log((1 - F.col("p1")) / (1 - F.col("p0")))).alias("a")).first().a
+    return w, F.lit(absent or 0.0) + _log_odds(sizes)
 
 
-def nearest_centroid(train_vals: DataFrame, labels: DataFrame, eval_vals: DataFrame, docs: DataFrame,
+def nearest_centroid(values: DataFrame, is_train: str, sizes: tuple[int, int], docs: DataFrame,
                      key: str = "row_id", label: str = "label", value: str = "value") -> DataFrame:
-    """Class means of the (sparse) feature vectors, implicit zeros
-    included (sum / class size); predict the class at the smaller Euclidean
+    """Class means of the (sparse) feature vectors ``(key, label, term, value)`` of the training
+    rows, implicit zeros included (sum / class size); predict the class at the smaller Euclidean
     distance, ``|x|^2 - 2 x.mu + |mu|^2`` (ties -> class 0)."""
-    lab = labels.select(key, label)
-    sizes = lab.groupBy(label).agg(F.count(F.lit(1)).alias("n_c"))
-    mu = (train_vals.join(lab, key).groupBy(label, "term").agg(F.sum(value).alias("s"))
-          .join(F.broadcast(sizes), label).select(label, "term", (F.col("s") / F.col("n_c")).alias("mu")))
-    mu_sq = mu.groupBy(label).agg(F.sum(F.col("mu") ** 2).alias("mu_sq"))
-    dots = (eval_vals.join(mu.withColumnRenamed(label, "__c"), "term")
-            .groupBy(key).agg(F.sum(F.when(F.col("__c") == 0, F.col(value) * F.col("mu"))).alias("dot0"),
-                              F.sum(F.when(F.col("__c") == 1, F.col(value) * F.col("mu"))).alias("dot1")))
-    x_sq = eval_vals.groupBy(key).agg(F.sum(F.col(value) ** 2).alias("x_sq"))
-    m = mu_sq.agg(F.sum(F.when(F.col(label) == 0, F.col("mu_sq"))).alias("m0"),
-                  F.sum(F.when(F.col(label) == 1, F.col("mu_sq"))).alias("m1"))
-    out = (docs.join(x_sq, key, "left").join(dots, key, "left").crossJoin(F.broadcast(m))
-           .na.fill(0.0, ["x_sq", "dot0", "dot1"]))
-    d0 = F.col("x_sq") - 2 * F.col("dot0") + F.coalesce(F.col("m0"), F.lit(0.0))
-    d1 = F.col("x_sq") - 2 * F.col("dot1") + F.coalesce(F.col("m1"), F.lit(0.0))
-    return (out.withColumn("dist0", d0).withColumn("dist1", d1)
-            .withColumn("pred", F.when(F.col("dist1") < F.col("dist0"), 1).otherwise(0))
-            .drop("x_sq", "dot0", "dot1", "m0", "m1"))
+    def mean(c):
+        total = F.sum(F.when(F.col(label) == c, F.col(value)).otherwise(0.0))
+        return (total / F.nullif(F.lit(sizes[c]), F.lit(0))).alias(f"mu{c}")
+    mu = write_once(values.where(is_train).groupBy("term").agg(mean(0), mean(1)), "centroids")
+    norm = mu.agg(F.sum(F.col("mu0") ** 2).alias("m0"), F.sum(F.col("mu1") ** 2).alias("m1")).first()
+    sums = (values.join(mu, "term", "left").groupBy(key)
+            .agg(F.sum(F.col(value) ** 2).alias("x_sq"),
+                 *[F.sum(F.col(value) * F.col(f"mu{c}")).alias(f"dot{c}") for c in (0, 1)]))
+    out = docs.join(sums, key, "left").na.fill(0.0, ["x_sq", "dot0", "dot1"])
+    for c in (0, 1):
+        out = out.withColumn(f"dist{c}", F.col("x_sq") - 2 * F.col(f"dot{c}") + F.lit(norm[f"m{c}"] or 0.0))
+    return (out.withColumn("pred", F.when(F.col("dist1") < F.col("dist0"), 1).otherwise(0))
+            .drop("x_sq", "dot0", "dot1"))
 
 
 def lexicon_polarity(tokens: DataFrame, lexicon: DataFrame, docs: DataFrame, key: str = "row_id") -> DataFrame:

@@ -30,6 +30,21 @@ def doc_grams(df: DataFrame, ngram_max: int = 1, stop_words=None, key: str = "ro
     return df.select(key, *extra, F.explode(grams(F.col("text"), ngram_max, stop_words)).alias("term"))
 
 
+def doc_counts(df: DataFrame, ngram_max: int = 1, stop_words=None,
+               keep: tuple[str, ...] = ("row_id",)) -> DataFrame:
+    """Term counts ``(keep..., term, tf)`` of each row of ``df``, counted inside the row: its grams
+    are sorted and the lengths of equal runs taken, so nothing is shuffled.  A row is a
+    document: a repeated key counts as two documents."""
+    sorted_grams = df.select(*keep, F.sort_array(grams(F.col("text"), ngram_max, stop_words)).alias("__g"))
+    at_start = F.transform("__g", lambda t, i: F.struct(t.alias("term"), i.alias("at")))
+    runs = F.filter(at_start, lambda s: (s["at"] == 0) | (F.get(F.col("__g"), s["at"] - 1) != s["term"]))
+    in_runs = sorted_grams.select(*keep, F.size("__g").alias("__n"), runs.alias("__s"))
+    counted = F.transform("__s", lambda s, i: F.struct(
+        s["term"].alias("term"),
+        (F.coalesce(F.get(F.col("__s"), i + 1)["at"], F.col("__n")) - s["at"]).cast("long").alias("tf")))
+    return in_runs.select(*keep, F.inline(counted))
+
+
 def fit_vocabulary(occ: DataFrame, max_features: int | None, key: str = "row_id") -> DataFrame:
     """Vocabulary ``(term, index, cnt, df)``: the ``max_features`` most frequent
     terms (ties by term), index 0.. in that order."""
@@ -51,11 +66,12 @@ def doc_term_table(occ: DataFrame, key: str = "row_id", extra: tuple[str, ...] =
     return occ.groupBy(key, *extra, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def fit_vocabulary_counts(dtc: DataFrame, max_features: int | None) -> DataFrame:
+def fit_vocabulary_counts(dtc: DataFrame, max_features: int | None, extra: tuple[Column, ...] = ()) -> DataFrame:
     """Vocabulary from per-document counts: ``cnt = sum(tf)``, ``df = count``
-    (one row per document and term), top ``max_features`` by cnt then term."""
+    (one row per document and term), top ``max_features`` by cnt then term.
+    ``extra``: further aggregates of a term, taken in the same pass."""
     from pyspark.sql import Window
-    counts = dtc.groupBy("term").agg(F.sum("tf").alias("cnt"), F.count(F.lit(1)).alias("df"))
+    counts = dtc.groupBy("term").agg(F.sum("tf").alias("cnt"), F.count(F.lit(1)).alias("df"), *extra)
     if max_features is not None:
         counts = counts.orderBy(F.col("cnt").desc(), F.col("term")).limit(max_features)
         w = Window.orderBy(F.col("cnt").desc(), F.col("term"))  # over max_features rows only
@@ -85,10 +101,10 @@ def tfidf(counts: DataFrame, vocab_df: DataFrame, n_docs: DataFrame, max_feature
     """M3: ``tf * (ln((1+n)/(1+df)) + 1)``, then L2 norm per document (M4).
 
     ``vocab_df`` carries ``df`` counted on the training documents; ``n_docs``
-    is a one-row frame with column ``n``.
+    is a one-row frame with column ``n``, read once.
     """
-    idf = (vocab_df.crossJoin(F.broadcast(n_docs))
-           .select("term", (F.log((F.col("n") + 1) / (F.col("df") + 1)) + 1).alias("idf")))
+    n = F.lit(n_docs.first()["n"])
+    idf = vocab_df.select("term", (F.log((n + 1) / (F.col("df") + 1)) + 1).alias("idf"))
     w = counts.join(idf, "term").withColumn("tfidf", F.col("tf") * F.col("idf"))
     return l2_normalize(w, "tfidf", key) if normalize else w
 
@@ -101,41 +117,36 @@ def l2_normalize(df: DataFrame, value_col: str, key: str = "row_id") -> DataFram
     return df.withColumn(value_col, F.col(value_col) / F.nullif(norm, F.lit(0.0)))
 
 
-def chi2_scores(counts: DataFrame, labels: DataFrame, key: str = "row_id",
-                label_col: str = "label") -> DataFrame:
-    """Chi-squared of each term against the class (feature values summed
-    per class vs. the class share times the term total)."""
-    docs = labels.groupBy(label_col).agg(F.count(F.lit(1)).alias("n_c"))
-    n = labels.agg(F.count(F.lit(1)).alias("n"))
-    prior = docs.crossJoin(n).select(label_col, (F.col("n_c") / F.col("n")).alias("p_c"))
-    obs = (counts.join(labels.select(key, label_col), key)
-           .groupBy("term", label_col).agg(F.sum("tf").alias("obs")))
-    total = counts.groupBy("term").agg(F.sum("tf").alias("tot"))
-    # every (term, class) cell, including zero observations
-    cells = total.crossJoin(F.broadcast(prior))
-    full = (cells.join(obs, ["term", label_col], "left")
-            .withColumn("obs", F.coalesce("obs", F.lit(0)))
-            .withColumn("exp", F.col("p_c") * F.col("tot")))
-    return (full.groupBy("term")
-            .agg(F.sum((F.col("obs") - F.col("exp")) ** 2 / F.col("exp")).alias("chi2")))
-
-
-def mutual_info_scores(presence: DataFrame, labels: DataFrame, key: str = "row_id",
-                       label_col: str = "label") -> DataFrame:
-    """Mutual information between term presence and the class (nats).
-    ``presence``: distinct (row_id, term) pairs."""
-    n = labels.agg(F.count(F.lit(1)).alias("n"), F.sum(label_col).alias("n1"))
-    joined = presence.join(labels.select(key, label_col), key)
-    t = joined.groupBy("term").agg(F.count(F.lit(1)).alias("nt"), F.sum(label_col).alias("nt1"))
-    t = t.crossJoin(F.broadcast(n))
-    n11 = F.col("nt1")
-    n10 = F.col("nt") - F.col("nt1")
-    n01 = F.col("n1") - F.col("nt1")
-    n00 = F.col("n") - F.col("nt") - F.col("n1") + F.col("nt1")
-    nt, nf = F.col("nt"), F.col("n") - F.col("nt")
-    c1, c0 = F.col("n1"), F.col("n") - F.col("n1")
+def _class_sizes(labels: DataFrame, label_col: str) -> tuple[int, int]:
+    """Documents of class 0 and 1: one row, read once."""
+    row = labels.agg(F.count_if(F.col(label_col) == 0).alias("n0"), F.count_if(F.col(label_col) == 1).alias("n1")).first()
+    return row.n0, row.n1
+
+
+def chi2_scores(occ: DataFrame, labels: DataFrame, label_col: str = "label") -> DataFrame:
+    """Chi-squared of each term against the class 0/1 (occurrences per class vs. the class
+    share times the term total).  ``occ``: one row ``(term, label)`` an occurrence."""
+    sizes = _class_sizes(labels, label_col)
+    per = occ.groupBy("term").agg(*[F.count_if(F.col(label_col) == c).alias(f"o{c}") for c in (0, 1)])
+    total, chi2 = F.col("o0") + F.col("o1"), F.lit(0.0)
+    for c in (0, 1):
+        if sizes[c]:  # a class without documents has no cell
+            expected = F.lit(sizes[c] / sum(sizes)) * total
+            chi2 = chi2 + (F.col(f"o{c}") - expected) * (F.col(f"o{c}") - expected) / expected
+    return per.select("term", chi2.alias("chi2"))
+
+
+def mutual_info_scores(presence: DataFrame, labels: DataFrame, label_col: str = "label") -> DataFrame:
+    """Mutual information between term presence and the class 0/1 (nats).
+    ``presence``: one row ``(term, label)`` for each document that holds the term."""
+    n0, n1 = _class_sizes(labels, label_col)
+    n = n0 + n1
+    t = presence.groupBy("term").agg(F.count(F.lit(1)).alias("nt"), F.sum(label_col).alias("n11"))
+    n11, nt = F.col("n11"), F.col("nt")
+    n10, n01 = nt - n11, F.lit(n1) - n11
+    n00 = F.lit(n) - nt - F.lit(n1) + n11
 
     def cell(nij, ni, nj):
-        return F.when(nij > 0, nij / F.col("n") * F.log(F.col("n") * nij / (ni * nj))).otherwise(F.lit(0.0))
-    return t.select("term", (cell(n11, nt, c1) + cell(n10, nt, c0) + cell(n01, nf, c1)
-                             + cell(n00, nf, c0)).alias("mi"))
+        return F.when(nij > 0, nij / F.lit(n) * F.log(F.lit(n) * nij / (ni * nj))).otherwise(F.lit(0.0))
+    return t.select("term", (cell(n11, nt, F.lit(n1)) + cell(n10, nt, F.lit(n0)) + cell(n01, F.lit(n) - nt, F.lit(n1))
+                             + cell(n00, F.lit(n) - nt, F.lit(n0))).alias("mi"))

@@ -4,13 +4,15 @@
 ordered by ``md5(seed || '-' || key)``.  The held-out set is the ``ceil(f*n)``
 rows with the smallest hashes; of them the first ``floor(m/2)`` are validation, the
 rest test -- the sizes of two chained ``train_test_split`` calls.  Only the
-narrow (hash, key) table is sorted, to find the two cut points; every row's part
-is then a pure function of its key and the two points, so wide rows take part in no
-sort and two uses of one split agree.
+narrow (hash, key) table is sorted, to find the two cut points (two rows, read by the
+driver); every row's part is then a pure function of its key and two literals, so wide rows
+take part in no sort or join and two uses of one split agree.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,14 +27,18 @@ def train_val_test_split(df: DataFrame, key: str = "row_id", seed: int = 2000,
                          test_size: float = 0.02, split_col: str = "split") -> DataFrame:
     h = split_hash(F.col(key), seed)
     ranked = global_row_number(df.select(h.alias("__h"), F.col(key).alias("__k")), [F.col("__h"), F.col("__k")], "__r")
-    n = ranked.agg(F.ceil(F.lit(test_size) * F.count(F.lit(1))).alias("__m"))
-    point = F.struct("__h", "__k")
-    cuts = (ranked.join(F.broadcast(n), F.col("__r") <= F.col("__m"))
-            .agg(F.max(F.when(F.col("__r") == F.floor(F.col("__m") / 2), point)).alias("__val"),
-                 F.max(F.when(F.col("__r") == F.col("__m"), point)).alias("__cut")))
-    own = F.struct(h.alias("__h"), F.col(key).alias("__k"))
-    part = (F.when(own <= F.col("__val"), "validation").when(own <= F.col("__cut"), "test").otherwise("train"))
-    return df.join(F.broadcast(cuts)).withColumn(split_col, part).drop("__val", "__cut")
+    held_out = math.ceil(test_size * ranked.count())
+    cuts = {r["__r"]: r for r in ranked.where(F.col("__r").isin(held_out // 2, held_out)).collect()}
+    key_type = df.schema[key].dataType
+
+    def until(rank: int) -> Column:
+        if rank not in cuts:  # no row is that far in front
+            return F.lit(False)
+        cut_h, cut_k = F.lit(cuts[rank]["__h"]), F.lit(cuts[rank]["__k"]).cast(key_type)
+        return (h < cut_h) | ((h == cut_h) & (F.col(key) <= cut_k))
+
+    part = F.when(until(held_out // 2), "validation").when(until(held_out), "test").otherwise("train")
+    return df.withColumn(split_col, part)
 
 
 def split_sql(src: str, key: str = "row_id", seed: int = 2000, test_size: float = 0.02) -> str:

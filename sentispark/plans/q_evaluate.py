@@ -18,43 +18,43 @@ from sentispark.operators import terms as TM
 from sentispark.plans import q_terms as QT
 from sentispark.plans.catalog import register
 from sentispark.plans.q_features import WITH_SPLIT, split_corpus
+from sentispark.session import write_once
 
 VOCAB = 100_000
+TRAIN = "split = 'train'"
 
 
 # ---- shared Spark set-up ---------------------------------------------------------
 def setup(spark, sf):
+    """(documents, counts of vocabulary terms, vocabulary with class sums, training class sizes)."""
     sp = split_corpus(spark, sf)
-    dtc = FE.doc_term_table(FE.doc_grams(sp, 1, None, extra=("split",)), extra=("split",))
-    vocab = FE.fit_vocabulary_counts(dtc.where(F.col("split") == "train"), VOCAB)
-    counts = FE.vectorize_counts(dtc, vocab, VOCAB)
-    labels = sp.select("row_id", "label", "split")
-    train_ids = labels.where(F.col("split") == "train")
-    return sp, dtc, vocab, counts, labels, train_ids
+    dtc = write_once(FE.doc_counts(sp, keep=("row_id", "label", "split")), "counts")
+    vocab = write_once(FE.fit_vocabulary_counts(dtc.where(TRAIN), VOCAB, B.class_sums()), "vocabulary")
+    docs = sp.select("row_id", "label", "split")
+    return docs, dtc.join(vocab.select("term"), "term"), vocab, B.class_sizes(docs.where(TRAIN))
 
 
 def mnb_scores(spark, sf):
-    sp, occ, vocab, counts, labels, train = setup(spark, sf)
-    w, bias = B.multinomial_nb_fit(counts.join(train.select("row_id"), "row_id"), train, vocab)
-    s = B.linear_score(counts, w, bias, labels)
+    docs, counts, vocab, sizes = setup(spark, sf)
+    w, bias = B.multinomial_nb_fit(vocab, sizes)
+    s = B.linear_score(counts.select("row_id", "term", "tf"), w, bias, docs)
     return (s.withColumn("pred", F.when(F.col("score") > 0, 1).otherwise(0))
             .withColumn("prob", 1 / (1 + F.exp(-F.col("score")))))
 
 
 def bnb_scores(spark, sf):
-    sp, occ, vocab, counts, labels, train = setup(spark, sf)
-    pres = counts.select("row_id", "term").withColumn("one", F.lit(1.0))
-    w, bias = B.bernoulli_nb_fit(pres.join(train.select("row_id"), "row_id"), train, vocab)
-    s = B.linear_score(pres, w, bias, labels, value="one")
+    docs, counts, vocab, sizes = setup(spark, sf)
+    w, bias = B.bernoulli_nb_fit(vocab, sizes)
+    s = B.linear_score(counts.select("row_id", "term", F.lit(1.0).alias("one")), w, bias, docs, value="one")
     return s.withColumn("pred", F.when(F.col("score") > 0, 1).otherwise(0))
 
 
 def centroid_pred(spark, sf):
-    sp, occ, vocab, counts, labels, train = setup(spark, sf)
-    n_docs = train.agg(F.count(F.lit(1)).alias("n"))
-    vals = FE.tfidf(counts, vocab, n_docs, VOCAB).select("row_id", "term", F.col("tfidf").alias("value"))
-    tr = vals.join(train.select("row_id"), "row_id")
-    return B.nearest_centroid(tr, train, vals, labels)
+    docs, counts, vocab, sizes = setup(spark, sf)
+    n_docs = docs.where(TRAIN).agg(F.count(F.lit(1)).alias("n"))
+    vals = FE.tfidf(counts, vocab.select("term", "df"), n_docs, VOCAB).withColumnRenamed("tfidf", "value")
+    vals = write_once(vals.select("row_id", "label", "split", "term", "value"), "values")
+    return B.nearest_centroid(vals, TRAIN, sizes, docs)
 
 
 def lexicon_pred(spark, sf):
@@ -307,24 +307,18 @@ sweep AS (SELECT run, avg(CASE WHEN (CASE WHEN score > 0 THEN 1 ELSE 0 END) = la
 def nb_sweep(spark, sf):
     """M19 for the closed-form learner: one vocabulary ranked once; run n
     keeps ranks <= n; all runs are fit and scored in the same jobs."""
-    sp, occ, vocab, counts, labels, train = setup(spark, sf)
-    runs = spark.createDataFrame([(n,) for n in SWEEP], "run int")
-    vr = vocab.select("term", (F.col("index") + 1).alias("rk"))
-    per_vocab = runs.join(F.broadcast(vr), F.col("rk") <= F.col("run"))
-    tr = counts.join(train, "row_id")
-    per = (tr.groupBy("term").agg(F.sum(F.when(F.col("label") == 0, F.col("tf")).otherwise(0)).alias("c0"),
-                                  F.sum(F.when(F.col("label") == 1, F.col("tf")).otherwise(0)).alias("c1")))
-    per = per_vocab.join(per, "term", "left").na.fill(0, ["c0", "c1"])
+    docs, counts, vocab, (n0, n1) = setup(spark, sf)
+    runs = F.array(*[F.lit(n) for n in SWEEP])
+    per = vocab.select("term", "c0", "c1", F.explode(F.filter(runs, lambda r: r > F.col("index"))).alias("run"))
     tot = per.groupBy("run").agg(F.sum("c0").alias("tok0"), F.sum("c1").alias("tok1"),
-                                 F.count(F.lit(1)).alias("V"))
-    w = per.join(tot, "run").select("run", "term", (F.log((F.col("c1") + 1) / (F.col("tok1") + F.col("V")))
-                                                    - F.log((F.col("c0") + 1) / (F.col("tok0") + F.col("V")))).alias("w"))
-    pri = train.agg(F.count_if(F.col("label") == 0).alias("n0"), F.count_if(F.col("label") == 1).alias("n1"))
-    held = heldout(labels)
-    s = counts.join(held.select("row_id"), "row_id").join(w, "term").groupBy("run", "row_id").agg(
-        F.sum(F.col("tf") * F.col("w")).alias("s"))
-    sc = (runs.crossJoin(held).join(s, ["run", "row_id"], "left").crossJoin(F.broadcast(pri))
-          .withColumn("score", F.log(F.col("n1") / F.col("n0")) + F.coalesce("s", F.lit(0.0))))
+                                 F.count(F.lit(1)).alias("V"))  # a row per run
+    w = per.join(F.broadcast(tot), "run").select("run", "term", (
+        F.log((F.col("c1") + 1) / (F.col("tok1") + F.col("V")))
+        - F.log((F.col("c0") + 1) / (F.col("tok0") + F.col("V")))).alias("w"))
+    held = heldout(docs).select("row_id", "label", F.explode(runs).alias("run"))
+    s = heldout(counts).join(w, "term").groupBy("run", "row_id").agg(F.sum(F.col("tf") * F.col("w")).alias("s"))
+    sc = (held.join(s, ["run", "row_id"], "left")
+          .withColumn("score", F.log(F.lit(n1) / F.lit(n0)) + F.coalesce("s", F.lit(0.0))))
     return sc.groupBy("run").agg(F.avg(((F.col("score") > 0).cast("int") == F.col("label")).cast("double"))
                                  .alias("accuracy"))
 

@@ -16,17 +16,19 @@ from sentispark.operators.filters import class_head_sample, normalize_label
 from sentispark.operators.split import split_sql, train_val_test_split
 from sentispark.plans import sqltext as S
 from sentispark.plans.catalog import register
-from sentispark.session import cut_lineage
+from sentispark.session import cut_lineage, write_once
 from sentispark.sources.tables import all_corpus, raw_corpus, table, text_table
 
 SEED = 2000
 
 
 def split_corpus(spark, sf, seed: int = SEED):
-    """Cleaned corpus with its split.  The cleaned texts are written once to
-    the checkpoint folder; the split is a function of the key and two cut points, so
-    it is not written."""
-    d = cut_lineage(C.clean_corpus(raw_corpus(spark, sf)).withColumn("label", normalize_label("target")))
+    """Cleaned corpus with its split.  The cleaned texts are written once, as a table in the
+    checkpoint folder; the split is a function of the key and two cut points, so
+    it is not written.  Rows are dealt by key first: the exchange is the one a shuffle join
+    with the labels needs anyway (Spark drops it then), and splits of uneven sizes even out."""
+    raw = raw_corpus(spark, sf).repartition("row_id")
+    d = write_once(C.clean_corpus(raw).withColumn("label", normalize_label("target")), "corpus")
     return train_val_test_split(d, "row_id", seed, 0.02)
 
 
@@ -91,8 +93,8 @@ def _vocab_sql(max_features: int, src: str = "occ") -> str:
 def _fit_features(spark, sf, ngram_max: int, max_features: int, stop_words=None):
     """(split corpus, per-document term counts, vocabulary fitted on train)."""
     sp = split_corpus(spark, sf)
-    dtc = FE.doc_term_table(FE.doc_grams(sp, ngram_max, stop_words, extra=("split",)), extra=("split",))
-    vocab = FE.fit_vocabulary_counts(dtc.where(F.col("split") == "train"), max_features)
+    dtc = write_once(FE.doc_counts(sp, ngram_max, stop_words, keep=("row_id", "split")), "counts")
+    vocab = write_once(FE.fit_vocabulary_counts(dtc.where(F.col("split") == "train"), max_features), "vocabulary")
     return sp, dtc, vocab
 
 
@@ -174,8 +176,7 @@ SELECT term, chi2 FROM (SELECT term, sum((o - e) * (o - e) / e) AS chi2 FROM cel
 ORDER BY chi2 DESC, term LIMIT 100""".replace("\n, cnt AS", ",\ncnt AS"), ops=("C1",))
 def q_chi2_select(spark, sf):
     lab, occ = _train_occ(spark, sf)
-    counts = TM.doc_term_counts(occ)
-    return TM.top_k(FE.chi2_scores(counts, lab), 100, "chi2")
+    return TM.top_k(FE.chi2_scores(occ, lab), 100, "chi2")
 
 
 @register("mutual_info_select", _TRAIN_OCC + """
@@ -190,8 +191,8 @@ SELECT term, mi FROM (SELECT term,
 + (CASE WHEN n00 > 0 THEN n00 / n * ln(n * n00 / ((n - nt) * (n - n1))) ELSE 0 END) AS mi FROM c)
 ORDER BY mi DESC, term LIMIT 100""".replace("\n, pres AS", ",\npres AS"), ops=("C2",))
 def q_mutual_info_select(spark, sf):
-    lab, occ = _train_occ(spark, sf)
-    pres = occ.select("row_id", "term").distinct()
+    lab = split_corpus(spark, sf).where(F.col("split") == "train")
+    pres = lab.select("label", F.explode(F.array_distinct(F.split("text", " "))).alias("term"))
     return TM.top_k(FE.mutual_info_scores(pres, lab), 100, "mi")
 
 

@@ -153,7 +153,7 @@ def _chi2_terms(spark, sf, k: int):
     from sentispark.operators import terms as TM
     sp = split_corpus(spark, sf).where(F.col("split") == "train")
     occ = C.explode_tokens(sp, keep=("row_id", "label"))
-    top = TM.top_k(FE.chi2_scores(TM.doc_term_counts(occ), sp.select("row_id", "label")), k, "chi2")
+    top = TM.top_k(FE.chi2_scores(occ, sp), k, "chi2")
     return [r.term for r in top.orderBy(F.col("chi2").desc(), "term").collect()]  # k terms
 
 

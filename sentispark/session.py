@@ -10,6 +10,7 @@ when nothing was configured (tests, laptops).
 from __future__ import annotations
 
 import tempfile
+import uuid
 import warnings
 
 from pyspark.sql import DataFrame, SparkSession
@@ -97,3 +98,15 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint (survives executor loss) into the shared folder."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def write_once(df: DataFrame, label: str) -> DataFrame:
+    """A result that several branches read: written as a Parquet table in the shared
+    checkpoint folder and read back (compressed, scans read only the columns asked for).
+    The folder goes when the application ends."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

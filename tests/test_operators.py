@@ -107,3 +107,32 @@ def test_confusion_matrix_has_both_rows(spark):
     pred = spark.createDataFrame([(1, 1), (1, 1)], "label int, pred int")
     rows = {r.label: (r.predicted_negative, r.predicted_positive) for r in E.confusion_matrix(pred).collect()}
     assert rows == {0: (0, 0), 1: (0, 2)}
+
+
+def test_counts_in_the_row_equal_grouped_counts(spark):
+    rows = [(1, "a b a b a", 0), (2, "z", 1), (3, "", 1), (4, None, 0), (5, " ".join(["x y"] * 500), 1)]
+    df = spark.createDataFrame(rows, "row_id int, text string, label int")
+    for ngram in (1, 3):
+        got = FE.doc_counts(df, ngram, keep=("row_id", "label"))
+        want = FE.doc_term_table(FE.doc_grams(df, ngram, extra=("label",)), extra=("label",))
+        assert got.schema.simpleString() == want.schema.simpleString()
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_split_cuts_are_literals(spark):
+    df = spark.createDataFrame([(i,) for i in range(300)], "row_id long")
+    parts = SP.train_val_test_split(df)
+    assert "Join" not in parts._jdf.queryExecution().optimizedPlan().toString()
+    assert {r["split"]: r["count"] for r in parts.groupBy("split").count().collect()} == {
+        "train": 294, "validation": 3, "test": 3}
+    one = SP.train_val_test_split(df.limit(1)).first()
+    assert one.split == "test"  # ceil(0.02) = 1 held out, none of it validation
+    assert SP.train_val_test_split(df.limit(0)).count() == 0
+
+
+def test_phrases_joined_at_places(spark):
+    docs = spark.createDataFrame([(1, "a b c a b".split()), (2, "c c".split()), (3, []), (4, None), (5, ["a", "b"])],
+                                 "row_id int, tokens array<string>")
+    phrases = spark.createDataFrame([("a", "b"), ("b", "c")], "a string, b string")
+    got = {r.row_id: r.tokens for r in PH.join_phrases(docs, PH.token_rows(docs), phrases).collect()}
+    assert got == {1: ["a_b", "c", "a_b"], 2: ["c", "c"], 3: [], 4: [], 5: ["a_b"]}
