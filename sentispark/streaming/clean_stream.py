@@ -20,9 +20,10 @@ DOC_SCHEMA = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BI
 
 def cleaned_stream(spark: SparkSession, src_dir: str, file_glob: str = "documents*.parquet",
                    schema: str = DOC_SCHEMA, max_files_per_trigger: int = 100) -> DataFrame:
-    """Streaming DataFrame ``(doc_id, text)`` of cleaned, non-empty texts."""
-    raw = (spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
-           .option("maxFilesPerTrigger", max_files_per_trigger).parquet(src_dir))
+    """Streaming DataFrame ``(doc_id, text)`` of cleaned, non-empty texts.  ``file_glob`` names
+    files of ``src_dir``, or folders whose files are read (a table Spark wrote is one)."""
+    raw = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
+           .parquet(f"{src_dir.rstrip('/')}/{file_glob}"))
     return raw.select("doc_id", keep_where(T.clean_text("text"), lambda t: ~T.is_empty_text(t)).alias("text"))
 
 

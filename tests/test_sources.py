@@ -78,3 +78,12 @@ def test_streaming_cleaner_equals_batch(spark):
     want = (spark.read.parquet(f"{SF001}/documents.parquet")
             .select("doc_id", T.clean_text("text").alias("text")).where(F.length("text") > 0))
     assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_streaming_cleaner_reads_a_table_of_several_files(spark):
+    from sentispark.streaming.clean_stream import stream_clean_documents
+    src, work = (tempfile.mkdtemp(prefix="sentispark-stream-") for _ in range(2))
+    docs = spark.createDataFrame([(i, f"Word{i} <b>here</b>", "en", "web", 10) for i in range(9)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    docs.repartition(3).write.parquet(f"{src}/documents.parquet")  # a folder of part files
+    assert sorted(r.doc_id for r in stream_clean_documents(spark, src, work).collect()) == list(range(9))
