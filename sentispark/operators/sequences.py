@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from sentispark.operators.ranking import global_row_number
 
 
-def frequency_index(tokens: DataFrame, term_col: str = "term") -> DataFrame:
-    """``(term, id, cnt)``, id 1.. by descending count then term.
+def frequency_index(tokens: DataFrame, term_col: str = "term", times: str | None = None) -> DataFrame:
+    """``(term, id, cnt)``, id 1.. by descending count then term; a row counts once, or
+    ``times`` (a column) where it stands for several.
     Ranked with the distributed ranker (the vocabulary can be large)."""
-    counts = tokens.groupBy(term_col).agg(F.count(F.lit(1)).alias("cnt"))
+    counts = tokens.groupBy(term_col).agg((F.sum(times) if times else F.count(F.lit(1))).alias("cnt"))
     return global_row_number(counts, [F.col("cnt").desc(), F.col(term_col)], "id")
 
 
