@@ -339,3 +339,18 @@ def test_variant_in_a_large_group(make_docs):
         docs += [(i, " ".join(words(30) + (variant if i in (x, y) else shared) + words(30))) for i in ids]
     got = passages.near_duplicate_passages(make_docs(docs)).collect()
     assert want <= {(r.doc_id, r.match_id) for r in got}
+
+
+def test_windows_leave_no_used_tables(spark, make_docs):
+    """Disk: of the tables on the way only classes and passages, which the result reads, stay."""
+    import os
+    from urllib.parse import urlparse
+    rnd = random.Random(5)
+    body = " ".join(rnd.choice("abcdefghij") * 3 + str(rnd.randrange(500)) for _ in range(120))
+    docs = [(i, f"x{i} {body} y{i}") for i in range(6)] + [(9, None)]
+    folder = urlparse(spark.sparkContext.getCheckpointDir()).path
+    before = set(os.listdir(folder))
+    got = passages.near_duplicate_passages(make_docs(docs))
+    left = {x.rsplit("-", 1)[0].split("-")[0] for x in set(os.listdir(folder)) - before if not x.startswith(".")}
+    assert left == {"members", "passages"}
+    assert {r.doc_id for r in got.collect()} == set(range(6))
