@@ -16,12 +16,14 @@ The result is exact; hashes of 64 bits stand for shingles.
    one has linked something (at most ``ROUNDS``).  A group of copies costs as many
    pairs as it has members.
 4. *Tiles.*  Only groups that still hold several components need more.  Up to ``SMALL`` members
-   are paired at once, under bitmaps of ``SMALL_BITS``.  The members of larger groups, sorted by size, are cut into
+   are paired at once; up to ``FEW`` under bitmaps of ``SMALL_BITS``, which is at most (``FEW`` - 1) / 2 pairs a
+   member, and beyond under wide ones.  The members of larger groups, sorted by size, are cut into
    blocks, and blocks of compatible sizes meet in tiles of bounded size, spread over tasks.  In a
    tile, sizes, prefix positions and then bitmaps rule pairs out: a set's signature is the parity
-   of its hashes over 2048 bits, so the bits in which two differ are at most |A ^ B| and bound the
-   overlap from above.
-   Stars pass the smaller bitmaps, too, before any set is fetched; they are made with the sets.
+   of its hashes over a number of bits, so the bits in which two differ are at most |A ^ B| and bound the
+   overlap from above.  That bound tells sets apart only where there is about a bit for each shingle, so wide
+   signatures have as many bits as the set has shingles; else long texts that share one passage would all pass.
+   Stars pass the wide bitmaps, too, before any set is fetched; they are made with the sets.
 5. *Verification* of what is left: the bitmap bound again, then the intersection of the
    sorted arrays, which are made anew for the sets in question only; and components.
 
@@ -47,10 +49,12 @@ from sentispark.llm.components import components
 from sentispark.llm.shingles import WordHashes, shingle_sets
 
 BITS = 2048
-#: Bits of the smaller signatures that travel with stars and small groups.
-SMALL_BITS = 512
+#: Bits of the smaller signatures that travel with small groups, and of wide ones at most.
+SMALL_BITS, MOST_BITS = 512, 8192
 BLOCK = 1024
 SMALL = 64
+#: Members of a group that are paired under the smaller signatures.
+FEW = 8
 SHARED = 3
 #: Most rounds of stars round other leaders, before tiles, which settle whatever is left.
 ROUNDS = 10
@@ -74,15 +78,38 @@ def signature(values: np.ndarray, bits: int = BITS) -> np.ndarray:
     return np.packbits((np.bincount(values & (bits - 1), minlength=bits) & 1).astype(np.uint8))
 
 
-def bitmaps(column) -> np.ndarray:
-    """Signatures of many sets, a row each."""
-    held = column if isinstance(column, list) else column.to_pylist()
-    return np.frombuffer(b"".join(held), np.uint64).reshape(len(held), -1)
+def wide_bits(n: int) -> int:
+    """Bits of the wide signature of a set of size n: the power of two at or above n, within bounds."""
+    return min(max(1 << (n - 1).bit_length(), SMALL_BITS), MOST_BITS) if n else SMALL_BITS
 
 
-def within_bound(n, bits_n, m, bits_m) -> np.ndarray:
-    """Sets of sizes n and m may overlap enough, by their bitmaps."""
-    apart = np.bitwise_count(bits_n ^ bits_m).sum(1, dtype=np.int64)
+class Bitmaps:
+    """Signatures of many sets, which may differ in length: 64-bit words in a row."""
+
+    def __init__(self, column):
+        held = column if isinstance(column, list) else column.to_pylist()
+        self.words = np.frombuffer(b"".join(held), np.uint64)
+        self.size = np.array([len(x) // 8 for x in held], np.int64)
+        self.start = np.cumsum(self.size) - self.size
+
+    def rows(self, at: np.ndarray, size: int, width: int) -> np.ndarray:
+        """Signatures of ``size`` words cut to ``width``: a longer one's halves meet by parity."""
+        out = self.words[self.start[at][:, None] + np.arange(size)]
+        while out.shape[1] > width:
+            half = out.shape[1] // 2
+            out = out[:, :half] ^ out[:, half:]
+        return out
+
+
+def within_bound(n, bits_n: Bitmaps, i, m, bits_m: Bitmaps, j) -> np.ndarray:
+    """Sets of sizes n and m, rows ``i`` and ``j`` of their bitmaps, may overlap enough (compared at the shorter length)."""
+    i, j = np.broadcast_arrays(i, j)
+    kind, apart = (bits_n.size[i] << 32) + bits_m.size[j], np.zeros(len(i), np.int64)
+    for k in np.unique(kind).tolist():
+        sizes, at = (k >> 32, k & 0xFFFFFFFF), np.flatnonzero(kind == k)
+        for part in np.array_split(at, 1 + len(at) * max(sizes) // (1 << 20)):
+            x, y = bits_n.rows(i[part], sizes[0], min(sizes)), bits_m.rows(j[part], sizes[1], min(sizes))
+            apart[part] = np.bitwise_count(x ^ y).sum(1, dtype=np.int64)
     return n + m - apart >= 2 * need(n, m)
 
 
@@ -118,26 +145,28 @@ def frequent_shingles(docs: DataFrame, words: int, chunk: int = 2_000_000, local
 
 
 def _sets(docs: DataFrame, words: int, frequent: np.ndarray) -> DataFrame:
-    """``doc_id, n, digest, bits, prefix``: the set's size, identity and small signature, and the first shingles."""
+    """``doc_id, n, digest, bits, wide, prefix``: the set's size, identity, small signature and wide one (null where
+    it is the small one), and the first shingles."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
                 b = whole.slice(at, 1000)
-                sizes, digests, bits, prefixes = [], [], [], []
+                sizes, digests, bits, wide, prefixes = [], [], [], [], []
                 for s in shingle_sets(b.column(1).to_pylist(), cache, words):
                     sizes.append(len(s))
                     digests.append(xxhash.xxh3_128_digest(s.tobytes()))
                     bits.append(signature(s, SMALL_BITS).tobytes())
+                    wide.append(signature(s, w).tobytes() if (w := wide_bits(len(s))) > SMALL_BITS else None)
                     if len(s) and len(frequent):
                         last = frequent[np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)] == s
                         s = np.concatenate([s[~last], s[last]])
                     prefixes.append(s[:prefix_length(len(s))].tobytes() if len(s) else b"")
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0), pa.array(sizes, pa.int64()), *(pa.array(x, pa.binary()) for x in (digests, bits, prefixes))],
-                    names=["doc_id", "n", "digest", "bits", "prefix"])
+                    [b.column(0), pa.array(sizes, pa.int64()), *(pa.array(x, pa.binary()) for x in (digests, bits, wide, prefixes))],
+                    names=["doc_id", "n", "digest", "bits", "wide", "prefix"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, digest binary, bits binary, prefix binary")
+    return docs.mapInArrow(run, "doc_id long, n long, digest binary, bits binary, wide binary, prefix binary")
 
 
 def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,15 +255,16 @@ def linked(a: bytes, bits_a: bytes, b: bytes, bits_b: bytes) -> bool:
 
 
 def _possible(pairs: DataFrame, bits: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` that small signatures (``rep, n, bits``) allow; narrow rows, no sets."""
+    """The pairs ``a, b`` that wide signatures (``rep, n, wide``) allow; narrow rows, no sets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                ok = within_bound(b.column(2).to_numpy(), bitmaps(b.column(4)), b.column(3).to_numpy(), bitmaps(b.column(5)))
+                at = np.arange(b.num_rows)
+                ok = within_bound(b.column(2).to_numpy(), Bitmaps(b.column(4)), at, b.column(3).to_numpy(), Bitmaps(b.column(5)), at)
                 yield pa.RecordBatch.from_arrays([c.filter(pa.array(ok)) for c in b.columns[:2]], names=["a", "b"])
 
-    left = bits.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("bits").alias("ba"))
-    right = bits.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bb"))
+    left = bits.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("wide").alias("ba"))
+    right = bits.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("wide").alias("bb"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "ba", "bb").mapInArrow(run, "a long, b long")
 
 
@@ -258,7 +288,7 @@ def tile_pairs(x: pd.DataFrame, y: pd.DataFrame | None) -> tuple[np.ndarray, np.
     within = y is None
     y = x if within else y
     (na, pa_), (nb, pb) = (((p := d["place"].to_numpy()) >> 32, p & 0xFFFFFFFF) for d in (x, y))
-    bits_a, bits_b = (bitmaps(d["bits"].tolist()) for d in (x, y))
+    bits_a, bits_b = (Bitmaps(d["bits"].tolist()) for d in (x, y))
     comp_a, comp_b, rep_a, rep_b = x["comp"].to_numpy(), y["comp"].to_numpy(), x["rep"].to_numpy(), y["rep"].to_numpy()
     out_a, out_b, out_least = [], [], []
     for i in range(len(x)):
@@ -267,7 +297,7 @@ def tile_pairs(x: pd.DataFrame, y: pd.DataFrame | None) -> tuple[np.ndarray, np.
             ok[:i + 1] = False
         j = np.flatnonzero(ok)
         if len(j):
-            j = j[within_bound(na[i], bits_a[i], nb[j], bits_b[j])]
+            j = j[within_bound(na[i], bits_a, i, nb[j], bits_b, j)]
             out_a.append(np.full(len(j), rep_a[i]))
             out_b.append(rep_b[j])
             out_least.append(np.minimum(SHARED, need(na[i], nb[j])))
@@ -280,11 +310,11 @@ def _small_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     pairs ``a, b, least`` (shingles they must share in their prefixes), once a shingle."""
     held = None
     for batch in batches:
-        rows = [*(c.to_numpy() for c in batch.columns[:4]), bitmaps(batch.column(4)) if batch.num_rows else None]
-        if held is not None and batch.num_rows:
-            rows = [np.concatenate(x) for x in zip(held, rows)]
-        if not len(rows[0]):
+        if not batch.num_rows:
             continue
+        rows = [*(c.to_numpy() for c in batch.columns[:4]), batch.column(4).to_pylist()]
+        if held is not None:
+            rows = [*(np.concatenate(x) for x in zip(held[:4], rows)), held[4] + rows[4]]
         end = int(np.searchsorted(rows[0], rows[0][-1]))  # the last group may go on
         held = [c[end:] for c in rows]
         yield _pairs_within(*(c[:end] for c in rows))
@@ -293,7 +323,7 @@ def _small_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _pairs_within(h, place, rep, comp, bits) -> pa.RecordBatch:
-    n, pos = place >> 32, place & 0xFFFFFFFF
+    n, pos, bits = place >> 32, place & 0xFFFFFFFF, Bitmaps(bits)
     out = [[], [], []]
     for d in range(1, len(h)):
         same = np.flatnonzero(h[d:] == h[:-d])
@@ -302,7 +332,7 @@ def _pairs_within(h, place, rep, comp, bits) -> pa.RecordBatch:
         i, j = same, same + d
         ok = (comp[i] != comp[j]) & could_link(n[i], pos[i], n[j], pos[j])
         i, j = i[ok], j[ok]
-        ok = within_bound(n[i], bits[i], n[j], bits[j])
+        ok = within_bound(n[i], bits, i, n[j], bits, j)
         i, j = i[ok], j[ok]
         out[0].append(np.minimum(rep[i], rep[j]))
         out[1].append(np.maximum(rep[i], rep[j]))
@@ -418,7 +448,8 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     copies = broadcast_if_small(member.where("digest is not null").select("doc_id", "digest").distinct(), BROADCAST_IDS)
     reps = (sets.where("n > 0 and doc_id is not null").join(copies, ["doc_id", "digest"], "left_anti")
             .select(F.col("doc_id").alias("rep"), "n", "prefix"))
-    bits = some.join(copies, ["doc_id", "digest"], "left_anti").select(F.col("doc_id").alias("rep"), "n", "bits")
+    bits = some.join(copies, ["doc_id", "digest"], "left_anti").select(
+        F.col("doc_id").alias("rep"), "n", "bits", F.coalesce("wide", "bits").alias("wide"))
     postings = reps.mapInArrow(_postings, "h long, place long, rep long")
     groups = written(postings.repartition("h").sortWithinPartitions("h", "place", "rep")
                      .mapInArrow(_lead, "h long, place long, rep long, leader long, least long"), "groups")
@@ -445,13 +476,13 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     owned = _owned(opened, label)
     discard(opened)
     size = owned.groupBy("h").agg(F.count(F.lit(1)).alias("rows"))
-    few = (owned.join(size.where(F.col("rows") <= small).select("h"), "h", "left_semi").join(bits.select("rep", "bits"), "rep")
-           .select("h", "place", "rep", "comp", "bits")
+    few = (owned.join(size.where(F.col("rows") <= small), "h").join(bits.drop("n"), "rep")
+           .select("h", "place", "rep", "comp", F.when(F.col("rows") > FEW, F.col("wide")).otherwise(F.col("bits")).alias("bits"))
            .repartition("h").sortWithinPartitions("h", "place", "rep").mapInArrow(_small_pairs, "a long, b long, least long"))
     many = written(owned.join(size.where(F.col("rows") > small).select("h"), "h", "left_semi")
                    .select("h", "place", "rep", "comp"), "large")
-    large_bits = _signed_of(texts, many.select("rep").distinct(), words).select("rep", "bits")
-    rest = written(_possible(_enough(few.unionAll(_tiles(many.join(large_bits, "rep"), block))), bits), "pairs")
+    large = many.join(bits.select("rep", F.col("wide").alias("bits")), "rep")
+    rest = written(_possible(_enough(few.unionAll(_tiles(large, block))), bits), "pairs")
     more = _links(texts, rest, words)
     final = components(label.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more))
     # rows that share a doc_id share a component: their classes hang together by the id

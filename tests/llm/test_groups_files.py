@@ -104,6 +104,32 @@ def test_small_groups_list_what_bitmaps_allow():
         assert len(got) == 4 * len(set(got))
 
 
+def test_wide_signatures_tell_long_texts_apart():
+    """Signatures of different lengths keep the bound; long sets that share a passage only are no candidates."""
+    rnd = np.random.default_rng(7)
+    sizes = rnd.integers(300, 6000, 40).tolist() + [1023, 1024, 1025, 1370] * 2
+    passage = rnd.integers(-2 ** 62, 2 ** 62, 40)
+    sets = [np.unique(np.concatenate([passage, rnd.integers(-2 ** 62, 2 ** 62, n - 40)])) for n in sizes]
+    sets += [np.unique(np.concatenate([s[rnd.random(len(s)) < 0.9], rnd.integers(-2 ** 62, 2 ** 62, len(s) // 20)])) for s in sets]
+    n, at = np.array([len(s) for s in sets]), np.arange(len(sets))
+    i, j = (x.ravel() for x in np.meshgrid(at, at))
+    ok = (i < j) & (4 * np.minimum(n[i], n[j]) >= 3 * np.maximum(n[i], n[j]))
+    i, j = i[ok], j[ok]
+    both = np.array([len(np.intersect1d(sets[x], sets[y])) for x, y in zip(i, j)])
+    links = both >= jaccard.need(n[i], n[j])
+    wide = jaccard.Bitmaps([jaccard.signature(s, jaccard.wide_bits(len(s))).tobytes() for s in sets])
+    assert len(set(wide.size.tolist())) > 3
+    got = jaccard.within_bound(n[i], wide, i, n[j], wide, j)
+    assert links.sum() == len(sets) // 2 and (got >= links).all() and (got & ~links).sum() == 0
+    # as they travel with a group of more than a few members
+    rows = sorted(((1, (len(s) << 32) | 1, k, k, jaccard.signature(s, jaccard.wide_bits(len(s))).tobytes()) for k, s in enumerate(sets)))
+    import pyarrow as pa
+    batch = pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in list(zip(*rows))[:4]), pa.array([r[4] for r in rows], pa.binary())],
+                                       names=["h", "place", "rep", "comp", "bits"])
+    pairs = {tuple(r) for b in jaccard._small_pairs(iter([batch])) for r in zip(*(c.to_pylist() for c in b.columns[:2]))}
+    assert pairs == {(int(x), int(y)) for x, y, ok in zip(i, j, links) if ok}
+
+
 def test_leaders_carry_over_batches():
     import pyarrow as pa
     rnd = random.Random(2)
