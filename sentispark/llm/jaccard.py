@@ -141,7 +141,7 @@ def frequent_shingles(docs: DataFrame, words: int, chunk: int = 2_000_000, local
 
     counts = docs.select("text").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
     top = counts.where(F.col("n") >= least).orderBy(F.desc("n"), "h").limit(FREQUENT)
-    return np.sort(np.array([r[0] for r in top.select("h").collect()], np.int64))
+    return np.sort(top.select("h").toArrow().column(0).to_numpy())  # one column, not a Row each
 
 
 def _sets(docs: DataFrame, words: int, frequent: np.ndarray) -> DataFrame:
@@ -235,8 +235,8 @@ def _signed(docs: DataFrame, words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
         for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                b = whole.slice(at, 500)
+            for at in range(0, whole.num_rows, 200):
+                b = whole.slice(at, 200)
                 sets = shingle_sets(b.column(1).to_pylist(), cache, words)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0), pa.array([signature(s).tobytes() for s in sets], pa.binary()),
@@ -271,9 +271,11 @@ def _possible(pairs: DataFrame, bits: DataFrame) -> DataFrame:
 def verified(pairs: DataFrame, signed: DataFrame) -> DataFrame:
     """The pairs ``a, b`` that link."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ok = [linked(*row) for row in zip(*(c.to_pylist() for c in batch.columns[2:]))]
-            yield pa.RecordBatch.from_arrays([c.filter(pa.array(ok, pa.bool_())) for c in batch.columns[:2]], names=["a", "b"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, 200):
+                b = whole.slice(at, 200)
+                ok = [linked(*row) for row in zip(*(c.to_pylist() for c in b.columns[2:]))]
+                yield pa.RecordBatch.from_arrays([c.filter(pa.array(ok, pa.bool_())) for c in b.columns[:2]], names=["a", "b"])
 
     left = signed.select(F.col("rep").alias("a"), F.col("shingles").alias("sa"), F.col("bits").alias("ba"))
     right = signed.select(F.col("rep").alias("b"), F.col("shingles").alias("sb"), F.col("bits").alias("bb"))
