@@ -367,6 +367,59 @@ def test_variant_in_a_large_group(make_docs):
     assert want <= {(r.doc_id, r.match_id) for r in got}
 
 
+def test_all_holders_of_a_passage_are_paired(make_docs):
+    """Not only with the first holder and the one before: each with each, whole copies by their first document."""
+    rnd = random.Random(11)
+
+    def words(n):
+        return [f"u{rnd.randrange(10 ** 9)}" for _ in range(n)]
+
+    shared, docs = words(80), []
+    for i in range(9):
+        own = list(shared)
+        if i % 3 == 2:
+            own[40] = words(1)[0]
+        docs.append((i, " ".join(words(20 + i) + own + words(30))))
+    docs += [(50, docs[4][1]), (51, " ".join(words(120)))]
+    got = passages.near_duplicate_passages(make_docs(docs)).collect()
+    pairs = {(r.doc_id, r.match_id) for r in got if r.kind == "passage"}
+    assert pairs == {(i, j) for i in range(9) for j in range(9) if i != j}
+    assert {(r.doc_id, r.match_id) for r in got if r.kind == "copy"} == {(50, 4), (4, 50)}
+
+
+def test_shared_values_go_on_over_batches():
+    import pyarrow as pa
+    rnd = random.Random(2)
+    rows = sorted((rnd.randrange(60), rnd.randrange(4), k) for k in range(150))
+    docs = {}
+    for k, d, _ in rows:
+        docs.setdefault(k, set()).add(d)
+    want = [r for r in rows if len(docs[r[0]]) > 1]
+    for size in (1, 2, 7, 150):
+        cut = [pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows[i:i + size])], names=["key", "doc", "c"])
+               for i in range(0, len(rows), size)]
+        got = [tuple(r.values()) for b in passages._shared(iter(cut)) for r in b.to_pylist()]
+        assert got == want
+
+
+def test_joint_values_of_texts_that_agree():
+    """Two places whose windows agree under ``agree`` hashes share a joint value, whichever hashes they are."""
+    from itertools import combinations
+    w = np.zeros(8, passages._WINDOW)
+    w["l"], w["r"] = 0, 99
+    for number in range(8):
+        w[number]["key"], w[number]["c"] = 64 * (number + 1) + number, 20 + 7 * number
+    for some in combinations(range(8), 4):
+        other = w.copy()
+        for number in set(range(8)) - set(some):
+            other[number]["key"] += 640
+        x, y = (set(passages.joint_values(np.zeros(8, np.int64), v, 46, 4)[1].tolist()) for v in (w, other))
+        assert x & y
+    far = w.copy()
+    far["l"], far["r"] = far["c"] - 10, far["c"] + 20  # too short
+    assert not len(passages.joint_values(np.zeros(8, np.int64), far, 46, 4)[1])
+
+
 def test_windows_leave_no_used_tables(spark, make_docs):
     """Disk: of the tables on the way only classes and passages, which the result reads, stay."""
     import os
