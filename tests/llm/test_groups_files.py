@@ -394,7 +394,7 @@ def test_shared_values_go_on_over_batches():
     docs = {}
     for k, d, _ in rows:
         docs.setdefault(k, set()).add(d)
-    want = [r for r in rows if len(docs[r[0]]) > 1]
+    want = [(*r, sum(k == r[0] for k, *_ in rows[:i])) for i, r in enumerate(rows) if len(docs[r[0]]) > 1]
     for size in (1, 2, 7, 150):
         cut = [pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows[i:i + size])], names=["key", "doc", "c"])
                for i in range(0, len(rows), size)]
